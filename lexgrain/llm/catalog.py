@@ -1,7 +1,7 @@
 """Queries of the operators for training data."""
 
-from lexgrain.llm import neardup
+from lexgrain.llm import neardup, splitting, vectors
 
 QUERIES: dict[str, tuple] = {}
-for _m in (neardup,):
+for _m in (neardup, splitting, vectors):
     QUERIES.update(_m.QUERIES)
