@@ -1,7 +1,7 @@
 """Queries of the operators for training data."""
 
-from lexgrain.llm import neardup, splitting, vectors
+from lexgrain.llm import lexicon, neardup, packing, splitting, vectors
 
 QUERIES: dict[str, tuple] = {}
-for _m in (neardup, splitting, vectors):
+for _m in (neardup, splitting, vectors, lexicon, packing):
     QUERIES.update(_m.QUERIES)
