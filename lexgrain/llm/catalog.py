@@ -1,7 +1,7 @@
 """Queries of the operators for training data."""
 
-from lexgrain.llm import lexicon, neardup, packing, private, splitting, vectors
+from lexgrain.llm import lexicon, neardup, packing, private, splitting, variants, vectors
 
 QUERIES: dict[str, tuple] = {}
-for _m in (neardup, splitting, vectors, lexicon, packing, private):
+for _m in (variants, neardup, splitting, vectors, lexicon, packing, private):
     QUERIES.update(_m.QUERIES)
