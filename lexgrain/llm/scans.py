@@ -33,7 +33,10 @@ CONFUSIONS = [
 
 BREAK = re.compile(r"(?P<word>[^\W\d_]+(?:[-‐‑][^\W\d_]+)*)(?P<sign>[-‐‑‒¬­])[ \t\r]*$")
 START = re.compile(r"\s*(?P<word>[^\W\d_]+)")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_&@/\\.#‐¬­-])[A-Za-z]{2,}(?:-[A-Za-z]+)*(?![A-Za-z0-9_@/\\‐¬­-]|\.[A-Za-z])")
+WORD = re.compile(r"[A-Za-z]{2,}(?:-[A-Za-z]+)*")
+#: what may stand around a word
+AROUND = ".,;:!?()[]{}'\"“”‘’*_—–…"
+SIGNS = frozenset("-‐‑‒¬­")
 ORNATE = re.compile(r"(?:[-—–]+\s*(\d{1,4})\s*[-—–]+|\[\s*(\d{1,4})\s*\]|(?:page|pg\.?|p\.)\s*(\d{1,4})(?:\s+of\s+\d+)?|(\d{1,4})\s*\|\s*page|[-—–]?\s*[ivxlc]{1,8}\s*[-—–]?)", re.I)
 ROMAN = re.compile(r"[-—–]?\s*(?=[ivxlc])(?:c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})\s*[-—–]?")
 BARE = re.compile(r"\d{1,4}")
@@ -70,6 +73,11 @@ def is_page_number(line: str, before: str, pages: set[int]) -> bool:
 
 def heading_like(line: str) -> bool:
     """Could be a running head: short, capitalised words, no sentence."""
+    if len(line) < 5 or len(line) > 140:
+        return False
+    quick = line.split()
+    if 3 * sum(w[0].islower() for w in quick) > len(quick) + 2:
+        return False
     s = NUMBER_SIDE.sub("", line).strip()
     if not 5 <= len(s) <= 100 or s[0] in "#|*<>{\\=`-":
         return False
@@ -102,14 +110,23 @@ def _title_shape(line: str) -> bool:
     return heading_like(line) and bool(s.upper() == s or NUMBER_SIDE.search(line) or EDITION.search(s) or NUMBERED.search(s) or re.search(r"\bvs\b|\b(?:Act|Adhiniyam),?\s*\d{4}|^Act of \d{4}", s))
 
 
+def at_cut(line: str) -> re.Match | None:
+    """The word before a hyphen-like sign at the line's end."""
+    end = line.rstrip(" \t\r")
+    return BREAK.search(line, max(0, len(end) - 60)) if end and end[-1] in SIGNS else None
+
+
 def running_text(text: str) -> str:
     """Text without page numbers, headings and words at a cut."""
-    kept = []
+    if "\n" not in text and "\f" not in text and "\r" not in text:
+        return text
+    kept: list[str] = []
     for s in lines_of(text):
-        if not s.strip() or ORNATE.fullmatch(s.strip()) or BARE.fullmatch(s.strip()) or _title_shape(s):
+        short = s.strip()
+        if not short or (len(short) <= 20 and (ORNATE.fullmatch(short) or BARE.fullmatch(short))) or _title_shape(s):
             continue
-        if kept and BREAK.search(kept[-1]) and START.match(s):
-            kept[-1] = BREAK.sub("", kept[-1])
+        if kept and (m := at_cut(kept[-1])) and START.match(s):
+            kept[-1] = kept[-1][: m.start()]
             s = START.sub("", s, count=1)
         kept.append(s)
     return "\n".join(kept)
@@ -118,17 +135,25 @@ def running_text(text: str) -> str:
 def vocabulary(texts: DataFrame) -> DataFrame:
     """(word, n) of the running text of all rows; tasks add up their own first."""
 
+    def words(c: Counter) -> pd.DataFrame:
+        out: Counter = Counter()
+        for raw, n in c.items():
+            w = raw.strip(AROUND)
+            if WORD.fullmatch(w):
+                out[w.lower()] += n
+        return pd.DataFrame({"word": list(out), "n": list(out.values())})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c: Counter = Counter()
         for b in batches:
             for t in b["text"]:
-                c.update(TOKEN.findall(running_text(t)))
+                c.update(running_text(t).split())
             if len(c) > 300_000:
-                yield pd.DataFrame({"word": list(c), "n": list(c.values())})
+                yield words(c)
                 c.clear()
-        yield pd.DataFrame({"word": list(c), "n": list(c.values())})
+        yield words(c)
 
-    return texts.select("text").mapInPandas(count, "word string, n long").groupBy(F.lower("word").alias("word")).agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def corrections(vocab: DataFrame, ratio: int = 8, often: int = 150, least: int = 4, letters: int = 3) -> DataFrame:
@@ -175,9 +200,9 @@ def traces(sections: DataFrame, titles: DataFrame, broadcast_rows: int = 500_000
             rows = []
             for sid, doc, text, pages in batch.itertuples(index=False):
                 pages = {int(p) for p in pages if p == p and p is not None} if pages is not None else set()
-                for w in {t.lower() for t in TOKEN.findall(running_text(text))}:
-                    if only is None or w in only:
-                        rows.append((sid, doc, "misread", 0, w, ""))
+                raw = set(running_text(text).split())
+                for w in {w for r in raw if WORD.fullmatch(w := r.strip(AROUND).lower())} if only is None else {w for r in raw if (w := r.strip(AROUND).lower()) in only}:
+                    rows.append((sid, doc, "misread", 0, w, ""))
                 ls = lines_of(text)
                 if len(ls) < 2:
                     continue
@@ -186,7 +211,7 @@ def traces(sections: DataFrame, titles: DataFrame, broadcast_rows: int = 500_000
                 rows += [(sid, doc, "page_number", i, "", "") for i, p in enumerate(page) if p]
                 rows += [(sid, doc, "running_header", i, x.strip(), "") for i, (x, h) in enumerate(zip(ls, head)) if h]
                 for i, x in enumerate(ls):
-                    m = not page[i] and BREAK.search(x)
+                    m = not page[i] and at_cut(x)
                     if not m:
                         continue
                     j = i + 1
@@ -275,7 +300,7 @@ def repair(text: str, edits: list[dict]) -> str:
         kept = out
     done = "\n".join(kept)
     if right:
-        done = TOKEN.sub(lambda m: _cased(m[0], right[m[0].lower()]) if m[0].lower() in right else m[0], done)
+        done = re.sub(r"(?<![\w-])[A-Za-z]{2,}(?:-[A-Za-z]+)*(?![\w-])", lambda m: _cased(m[0], right[m[0].lower()]) if m[0].lower() in right else m[0], done)
     return done
 
 
