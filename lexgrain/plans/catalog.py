@@ -1,8 +1,8 @@
 """All queries of the core: name -> (function, oracle SQL or None)."""
 
-from lexgrain.plans import intervals
+from lexgrain.plans import index, intervals
 
-MODULES = [intervals]
+MODULES = [index, intervals]
 
 
 def all_queries() -> dict[str, tuple]:
@@ -13,4 +13,4 @@ def all_queries() -> dict[str, tuple]:
 
 
 def flagship(spark, sf):
-    return all_queries()["p3_found"][0](spark, sf)
+    return all_queries()["bm25_topk"][0](spark, sf)
