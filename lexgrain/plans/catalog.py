@@ -1,8 +1,8 @@
 """All queries of the core: name -> (function, oracle SQL or None)."""
 
-from lexgrain.plans import index, intervals
+from lexgrain.plans import corpus, index, intervals
 
-MODULES = [index, intervals]
+MODULES = [corpus, index, intervals]
 
 
 def all_queries() -> dict[str, tuple]:
