@@ -1,8 +1,8 @@
 """All queries of the core: name -> (function, oracle SQL or None)."""
 
-from lexgrain.plans import corpus, graph, index, intervals
+from lexgrain.plans import corpus, graph, index, intervals, verify
 
-MODULES = [corpus, graph, index, intervals]
+MODULES = [corpus, graph, index, intervals, verify]
 
 
 def all_queries() -> dict[str, tuple]:
