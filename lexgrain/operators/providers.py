@@ -153,7 +153,10 @@ def late_chunks(docs: DataFrame, make: Callable[[], Embedder], size: int = 200,
 def semantic_pieces(text: str, embedder: Embedder, most: int, alike: float = 0.75) -> list[str]:
     """Recursive cutting by ever finer separators, then joining of neighbours that
     are alike and fit; what is still too long is cut where neighbouring sentences
-    are least alike, and at last by length."""
+    are least alike, and at last by length. Blank text has no pieces."""
+    if not text.strip():
+        return []
+
     def fine(t: str, seps: list[str]) -> list[str]:
         if len(t) <= most or not seps:
             return [t] if len(t) <= most else least_alike(t)
@@ -169,8 +172,6 @@ def semantic_pieces(text: str, embedder: Embedder, most: int, alike: float = 0.7
         return [q for half in (" ".join(s[:k]), " ".join(s[k:])) for q in ([half] if len(half) <= most else least_alike(half))]
 
     parts = fine(text, ["\n\n\n", "\n\n", "\n", ". "])
-    if not parts:
-        return []
     v = embedder.embed(parts)
     out, last = [parts[0]], v[0]
     for p, x in zip(parts[1:], v[1:]):
