@@ -181,7 +181,8 @@ def word_counts(df: DataFrame, text_col: str) -> DataFrame:
             if len(c) > 500_000:
                 yield flush()
                 c.clear()
-        yield flush()
+        if c:
+            yield flush()
 
     t = df.select(F.col(text_col).alias("_t")).where("_t is not null and _t <> ''")
     return t.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

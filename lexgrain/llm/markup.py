@@ -53,14 +53,14 @@ FORMS = {
     ),
     "markdown": re.compile(
         r"^ {0,3}#{1,6}[ \t]+\S|\*\*(?=[^\s*])(?<!\n\*\*)(?<!\A\*\*)|(?<=[^\s*])\*\*|(?<!\w)__(?=[a-z])|(?<=[a-z])__(?!\w)|\]\(|^\[[^\]\n]+\]:\s*\S|\]\[|```|^~~~"
-        r"|(?<!`)`[^`\n]+`(?!`)|^\s*\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)*\|?\s*$|^={4,}\s*$|^>\s+(?=[A-Z*])|~~(?=\S)|(?<=\S)~~|\[\^\w+\]|^\s*[-*+] \[[ xX]\]|!\[",
+        r"|(?<!`)`[^`\n]+`(?!`)|^-{3,}\s*$|^\s*\|?\s*:?-{2,}:?\s*\|[\s:|-]*$|^={4,}\s*$|^>\s+(?=[A-Z*])|~~(?=\S)|(?<=\S)~~|\[\^\w+\]|^\s*[-*+] \[[ xX]\]|!\[",
         re.M,
     ),
     "wiki": re.compile(
         r"\[\[|\]\]|\{\{|\}\}|'{2,}(?=\w)|(?<=\w)'{2,}|^(={2,6})[^=\n]+\1?\s*$|^\{\||^\|-(?!-)|^\|\}|^![^!\n]+!!|(?<!!)\[https?://\S+[ \]]|<ref|</ref|</?nowiki|__[A-Z]+__|^\|[^|\n]+\|\||#REDIRECT",
         re.M,
     ),
-    "latex": re.compile(r"(?<![:\w\\])\\[a-zA-Z]+\*?(?![\\\w])|(?<=[\w.,;:)}$])\\[a-zA-Z]{2,}\*?(?![\\\w])|\\[%&$#_{}~]|\\\\(?=\s|\[|$)|\$[^$\n]*[\\^_=][^$\n]*\$?|(?<!`)``(?!`)|\\S\b|\bS~\d", re.M),
+    "latex": re.compile(r"(?<![:\w\\])\\[a-zA-Z]+\*?(?![\\\w])|(?<=[\w.,;:)}$])\\[a-zA-Z]{2,}\*?(?![\\\w])|\\[%&$#_{}~]|\\\\(?=\s|\[|$)|\$(?=[^\s\d$])[^$\n]*[\\^_=][^$\n]*\$?|(?<!`)``(?!`)|\\S\b|\bS~\d", re.M),
 }
 #: a text without any of these signs holds no form of any language
 SIGNS = r"[<>&*_#\[\]{}|\\=`~$]|''|---"
@@ -322,7 +322,7 @@ def _html(t: str) -> str:
     t = re.sub(r"(?i)</h[1-6]\s*>?", "\n\n", t)
     t = re.sub(r"(?i)<li\b[^<>]*>\s*", "\n- ", t)
     t = re.sub(r"(?i)</t[hd]\s*>\s*<t[hd]\b[^<>]*>", " | ", t)
-    t = re.sub(r"(?i)<tr\b[^<>]*>\s*|</(?:p|div|ul|ol|table|tr|blockquote)\s*>?|<(?:p|br|hr|div|ul|ol|table|blockquote)\b(?:\"[^\"\n]*\"|'[^'\n]*'|[^<>\n])*>?", "\n", t)
+    t = re.sub(r"(?i)<tr\b[^<>]*>\s*|</(?:p|div|ul|ol|table|blockquote)\s*>?|<(?:p|br|hr|div|ul|ol|table|blockquote)\b(?:\"[^\"\n]*\"|'[^'\n]*'|[^<>\n])*>?", "\n", t)
     t = re.sub(rf"(?i)</?(?:{'|'.join(TAGS)})(?=[\s/>]|$)(?:\"[^\"\n]*\"|'[^'\n]*'|[^<>\n])*>?", "", t)
     return html.unescape(t)
 
@@ -331,7 +331,7 @@ def _markdown(t: str) -> str:
     t = re.sub(r"(?ms)^```[^\n]*\n(.*?)(?:^```[ \t]*$|\Z)", lambda m: "\n".join("    " + x for x in m[1].rstrip("\n").split("\n")) + "\n", t)
     t = re.sub(r"(?m)^([^\n#|>*\-=][^\n]*)\n={4,}[ \t]*$", r"# \1", t)
     t = re.sub(r"(?m)^([^\n#|>*\-=][^\n]*)\n-{4,}[ \t]*$", r"## \1", t)
-    t = re.sub(r"(?m)^\s*\|?\s*:?-{3,}:?\s*(?:\|\s*:?-{3,}:?\s*)*\|?[ \t]*\n?", "", t)
+    t = re.sub(r"(?m)^(?:-{3,}|[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*\|[ \t:|-]*)[ \t]*(?:\n|\Z)", "", t)
     t = re.sub(r"(?m)^\|\s?(.*?)\s?\|[ \t]*$", r"\1", t)
     t = re.sub(r"!?\[([^\]\n]*)\]\([^)\n]*\)?", r"\1", t)
     t = re.sub(r"(?m)^\[[^\]\n]+\]:\s*\S+[ \t]*\n?", "", t)
@@ -350,10 +350,10 @@ def _wiki(t: str) -> str:
     t = re.sub(r"(?s)\{\{[^{}]*\}\}\n?", "", t)
     t = re.sub(r"\[https?://\S+ ([^\]\n]*)\]", r"\1", t)
     t = re.sub(r"\[(https?://[^\]\s]+)\]", r"\1", t)
+    t = re.sub(r"(?m)^(\*+|#+)\s+(?=\S)", lambda m: "  " * (len(m[1]) - 1) + ("- " if m[1][0] == "*" else m[1] + " "), t)
     t = re.sub(r"(?m)^(={2,6})\s*([^=\n]+?)\s*\1?[ \t]*$", lambda m: "#" * len(m[1]) + " " + m[2], t)
     t = re.sub(r"(?m)^\{\|[^\n]*\n?|^\|-(?!-)[^\n]*\n?|^\|\}[ \t]*\n?", "", t)
     t = re.sub(r"(?m)^[!|]\s?([^\n]*(?:!!|\|\|)[^\n]*)$", lambda m: re.sub(r"\s*(?:!!|\|\|)\s*", " | ", m[1]), t)
-    t = re.sub(r"(?m)^(\*+|#+)\s+(?=\S)", lambda m: "  " * (len(m[1]) - 1) + ("- " if m[1][0] == "*" else m[1] + " "), t)
     t = re.sub(r"<ref[^<>]*>[^<]*</ref>|<ref[^<>]*/?>|</?nowiki>?|__[A-Z]+__|#REDIRECT\s*", "", t)
     return re.sub(r"'{2,}(?=\w)|(?<=[\w.,;:])'{2,}|\[\[|\]\]|\{\{|\}\}", "", t)
 

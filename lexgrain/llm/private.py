@@ -67,12 +67,12 @@ PHONE = re.compile(
     re.A,
 )
 ID = re.compile(
-    r"(?<![\w+/-])(?:(?P<twelve>\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4})|(?P<pan>[A-Z]{5}\d{4}[A-Z])|(?P<licence>[A-Z]{2}-\d{2}-\d{4}-\d{7})"
-    r"|(?P<voter>[A-Z]{3}\d{7})|(?P<iban>[A-Z]{2}\d{2}[A-Z0-9]{11,30})|(?P<card>\d{4}(?P<s2>[ -]?)\d{4}(?P=s2)\d{4}(?P=s2)\d{4}))(?![\w/-]|\.\d)",
+    r"(?<![\w+/-])(?:(?P<card>\d{4}(?P<s2>[ -]?)\d{4}(?P=s2)\d{4}(?P=s2)\d{4})|(?P<twelve>\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4})|(?P<pan>[A-Z]{5}\d{4}[A-Z])"
+    r"|(?P<licence>[A-Z]{2}-\d{2}-\d{4}-\d{7})|(?P<voter>[A-Z]{3}\d{7})|(?P<iban>[A-Z]{2}\d{2}[A-Z0-9]{11,30}))(?![\w/-]|\.\d)",
     re.A,
 )
 ID_YES = re.compile(r"\b(?:identity|id|uid|pan|passport|licen[cs]e|voter|aadhaar|card|holds|ssn|iban|account)\b|पहचान|आधार", re.I)
-ID_NO = re.compile(r"\b(?:diary|challan|cnr|receipt|survey|case|petition|appeal|file|gsr|gazette|invoice|docket)\b[^.;]{0,12}$", re.I)
+ID_NO = re.compile(r"\b(?:diary|challan|cnr|receipt|survey|case|petition|appeal|file|gsr|gazette|invoice|docket)\b(?:\s+(?:no|number)s?\b\.?)?[\s:#-]*$", re.I)
 PHONE_YES = re.compile(r"\b(?:call|phone|tel|telephone|mob|mobile|m|ph|over|again|contact|fax|whatsapp)\b|संपर्क|दूरभाष|फ़?ोन|मोबाइल", re.I)
 ADDRESS = re.compile(
     r"(?<![\w/,.-])(?P<lead>(?:H\.?\s?No\.?|House(?:\s+No\.?)?|Flat(?:\s+No\.?)?|Plot(?:\s+No\.?)?|Door(?:\s+No\.?)?|D\.?\s?No\.?|Apartment|Apt\.?|Shop(?:\s+No\.?)?|Quarters?(?:\s+No\.?)?)\s*)?"

@@ -151,7 +151,8 @@ def vocabulary(texts: DataFrame) -> DataFrame:
             if len(c) > 300_000:
                 yield words(c)
                 c.clear()
-        yield words(c)
+        if c:
+            yield words(c)
 
     return texts.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -221,7 +222,8 @@ def traces(sections: DataFrame, titles: DataFrame, broadcast_rows: int = 500_000
                     if nxt:
                         left = m["word"] if m["sign"] in "-‐‑" else re.split("[-‐‑]", m["word"])[-1]
                         rows.append((sid, doc, "hyphen_break", i, left, nxt["word"]))
-            yield pd.DataFrame(rows, columns=["id", "doc", "kind", "line", "a", "b"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "doc", "kind", "line", "a", "b"])
 
     found = cut(base.select("id", "doc", "text", "pages").mapInPandas(scan, "id string, doc string, kind string, line int, a string, b string"))
 

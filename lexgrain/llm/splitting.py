@@ -135,7 +135,8 @@ def split_oversized(df: DataFrame, id_cols: list[str], text_col: str, limit: int
             for r in b.itertuples(index=False):
                 *key, t = r
                 rows += [(*key, i, a, e - a, (e - a) // CHARS, t[a:e]) for i, (a, e) in enumerate(pieces(t, limit, overlap))]
-            yield pd.DataFrame(rows, columns=[*names, "piece", "start", "length", "tokens", "text"])
+            if rows:
+                yield pd.DataFrame(rows, columns=[*names, "piece", "start", "length", "tokens", "text"])
 
     kinds = dict(df.dtypes)
     schema = ", ".join(f"{n} {kinds[c]}" for n, c in zip(names, id_cols)) + ", piece int, start int, length int, tokens int, text string"

@@ -113,7 +113,8 @@ def parse(df: DataFrame, columns: list[str], fn: Callable[..., tuple[dict, list[
         for b in batches:
             rows = [(i, fn(*rest)) for i, *rest in b.itertuples(index=False)]
             rows = [(i, json.dumps(r[0], sort_keys=True), sorted(set(r[1]))) for i, r in rows if r]
-            yield pd.DataFrame(rows, columns=["id", "sig", "keys"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "sig", "keys"])
 
     return df.select(F.col(columns[0]).cast("long").alias("_id"), *columns[1:]).where("_id is not null").distinct().mapInPandas(run, "id long, sig string, keys array<string>")
 
@@ -353,7 +354,8 @@ def judge_edges(recs: DataFrame, known: frozenset[str]) -> DataFrame:
                     if w not in known:
                         k = code(w)
                         rows += [(s, c, f"s|{k[:3]}"), (s, c, f"e|{k[-3:]}")]
-            yield pd.DataFrame(rows, columns=["t", "component", "key"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["t", "component", "key"])
 
     full = members.mapInPandas(surname_keys, "t string, component long, key string")
     bare = part.select("sig", "keys").dropDuplicates(["sig"]).select(F.col("sig").alias("s"), F.explode("keys").alias("key"))
@@ -472,7 +474,8 @@ def judgment_edges(df: DataFrame, id_col: str, citation: str, alternatives: str,
         keys_of = citation_keys(forms)
         for b in batches:
             rows = [(i, k) for i, t in zip(b["id"], b["c"]) for k in keys_of(t)]
-            yield pd.DataFrame(rows, columns=["id", "key"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "key"])
 
     k = cut(c.mapInPandas(run, "id long, key string").distinct())
     low = k.groupBy("key").agg(F.min("id").alias("low"))

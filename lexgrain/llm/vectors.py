@@ -139,10 +139,10 @@ class CollisionIndex:
 
     def nearest(self, q: np.ndarray, k: int, share: float, first: float = 0.15, grow: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k best of the vectors that passed the
-        threshold of collisions, once at least ``share`` of the block (and k)
+        threshold of collisions, once at least ``share`` of the block (and 256)
         had: windows around the query's projections grow until then."""
         n = len(self.x)
-        enough = min(n, max(k, math.ceil(share * n)))
+        enough = min(n, max(k, 256, math.ceil(share * n)))
         proj = q @ self.at
         w = first
         count = np.zeros(n, np.int32)
