@@ -85,9 +85,12 @@ TITLED = re.compile(r"\b" + TITLE + r"\s+(?P<name>(?:[A-Z]\.\s?){0,3}[A-Z][A-Za-
 BEFORE_TITLE = re.compile(r"\b" + TITLE + r"\s+$")
 TRIGGER = re.compile(r"(?:\bsigned\s+by|\bwitness,|\btold\s+by|\bContact:|\bthough|\b[sdw]/o|\b(?:son|daughter|wife|widow)\s+of|\bname\s+of|\bexamined|\bsummons\s+to|\bstatement\s+of|\bComplaint\s+of|\bBefore:|\band)\s+$", re.I)
 MIDDLE = r"(?:Kumar|Das|Dev|Lal|Prasad|Narayan|Chandra|Nath|Mohan|Bai|Devi|Singh|Rani|Ram)"
-LEAD = re.compile(r"(?:(?<![\w.-])(?P<given>[A-Za-z]{2,})\s+(?:(?:" + MIDDLE + r"|[A-Za-z]\.(?:\s?[A-Za-z]\.)?)\s+)?|(?<![\w.])(?P<initials>(?:[A-Z]\.\s?){1,3}))$", re.I)
+LEAD = re.compile(r"(?:(?<![\w.-])(?P<given>[A-Za-z]{2,})\s+(?:(?P<middle>" + MIDDLE + r"|[A-Za-z]\.(?:\s?[A-Za-z]\.)?)\s+)?|(?<![\w.])(?P<initials>(?:[A-Z]\.\s?){1,3}))$", re.I)
+WORD = re.compile(r"(?<![\w])[A-Za-z]{3,}")
+BOUND = re.compile(r"[\w@+-]|\.\w", re.A)
 MIDDLE_ONLY = re.compile(MIDDLE + r"$", re.I)
 AFTER_COMMA = re.compile(r",\s+(?P<given>[A-Za-z]{2,}(?:\s+(?:" + MIDDLE + r"|[A-Z]\.))?)(?=\s*[,.;:(]|\s+[a-z(]|\s*$)")
+FOLLOWED = re.compile(r"\s*\((?:[PDC]W-\d+|ID\b)|\s+v(?:s|ersus)?\.?\s|,\s+(?:aged|r/o|[sdw]/o|(?:son|daughter|wife|widow)\s+of)\b|\s+(?:appeared|deposed|paid|over\s+[+(\d])|,\s+(?:Member|Registrar|on\s+\d)", re.I)
 ORG = re.compile(r"\s+(?:&|and\s+Sons|Sons|Memorial|Trust|Ltd|Pvt|LLP|Brothers|Bros|Enterprises|Foundation|Mills|Nagar|Act|Street|Road)\b|\s*&")
 #: words that stand before a surname without being a given name
 NOT_GIVEN = frozenset("the a an and of in on by to for at from with under though over before that this between act state court messrs m/s member registrar shri sri smt mr ms mrs dr km kum adv prof justice".split())
@@ -106,16 +109,21 @@ class Names:
         # the longest form that nearly all words with an ending share, and of these the shortest
         full = [e for e, c in keep.items() if not any(o.endswith(e) and o != e and n >= 0.8 * c for o, n in keep.items())]
         self.endings = sorted((e for e in full if not any(o != e and e.endswith(o) for o in full)), key=len, reverse=True)
-        words = "|".join(map(re.escape, sorted(self.surnames, key=len, reverse=True)))
-        tails = "|".join(map(re.escape, self.endings))
-        parts = ([rf"[A-Za-z]{{2,}}(?:{tails})"] if tails else []) + ([words] if words else [])
-        self.surname = re.compile(rf"(?<![\w@.+-])(?:{'|'.join(parts)})(?![\w@+-]|\.\w)", re.I | re.A) if parts else None
+        self.tails = tuple(self.endings)
+
+    def surname_like(self, t: str) -> Iterator[re.Match]:
+        """Words that are surnames or end like them, and aren't part of an
+        address on the net or of a compound."""
+        for m in WORD.finditer(t):
+            w = m[0].lower()
+            if (w.endswith(self.tails) and self.tails or w in self.surnames) and not BOUND.match(t, m.end()) and (m.start() == 0 or t[m.start() - 1] not in "@.+-_"):
+                yield m
 
     def find(self, t: str) -> Iterator[Span]:
         for m in TITLED.finditer(t):
             if not ORG.match(t, m.end()):
                 yield Span(m.start("name"), m.end("name"), "name", 0.8)
-        for m in self.surname.finditer(t) if self.surname else ():
+        for m in self.surname_like(t):
             a, b = m.span()
             if ORG.match(t, b):
                 continue
@@ -124,18 +132,21 @@ class Names:
             pre = t[max(0, a - 60) : a]
             cap = word[0].isupper()
             lead = LEAD.search(pre)
-            given = lead and lead["given"]
-            if given and given.lower() in NOT_GIVEN:
-                given = lead = None
+            given, first_at = (lead["given"], lead.start()) if lead else (None, 0)
+            if given and (given.lower() in NOT_GIVEN or (given.islower() and (lead["middle"] or "x")[0].isupper())):
+                # what stands before is no name: a middle name may be the given one
+                given, first_at = (lead["middle"], lead.start("middle")) if lead["middle"] and "." not in lead["middle"] else (None, 0)
+                lead = lead if given else None
             if lead and lead["given"] and MIDDLE_ONLY.match(lead["given"]) and lead["given"].lower() not in self.given:
                 longer = re.search(r"(?<![\w.-])([A-Za-z]{2,})\s+$", pre[: lead.start()])
                 if longer and longer[1].lower() in self.given:
                     yield Span(a - (len(pre) - longer.start()), b, "name", 0.9)
                     continue
             if lead and given:
-                start = a - (len(pre) - lead.start())
-                before = pre[: lead.start()]
-                score = 0.25 + sure + 0.4 * (given.lower() in self.given) + 0.3 * bool(TRIGGER.search(before)) + 0.3 * bool(BEFORE_TITLE.search(before))
+                start = a - (len(pre) - first_at)
+                before = pre[:first_at]
+                score = 0.25 + sure + 0.4 * (given.lower() in self.given or bool(MIDDLE_ONLY.match(given))) + 0.3 * bool(TRIGGER.search(before)) + 0.3 * bool(BEFORE_TITLE.search(before))
+                score += 0.3 * bool(FOLLOWED.match(t, b))
                 score += 0.25 if cap and given[0].isupper() and (word.isupper() == given.isupper()) else -0.1
                 if score >= THRESHOLD:
                     yield Span(start, b, "name", min(score, 1.0))
@@ -147,7 +158,7 @@ class Names:
             after = AFTER_COMMA.match(t, b)
             if after:
                 first = after["given"].split()[0].lower()
-                score = 0.2 + sure + 0.4 * (first in self.given) + 0.3 * bool(TRIGGER.search(pre))
+                score = 0.2 + sure + 0.4 * (first in self.given) + 0.3 * bool(TRIGGER.search(pre)) + 0.3 * bool(FOLLOWED.match(t, after.end("given")))
                 if first not in NOT_GIVEN and score >= THRESHOLD:
                     yield Span(a, after.end("given"), "name", score)
                     continue
