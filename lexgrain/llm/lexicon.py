@@ -231,11 +231,11 @@ def encode(df: DataFrame, id_col: str, text_col: str, ranks_path: str | None = N
                 b = whole.slice(at, 1000)
                 split = [find(t) if t else [] for t in b.column(1).to_pylist()]
                 known.learn(set(chain.from_iterable(split)))
-                rows = [list(chain.from_iterable(map(known.__getitem__, s))) for s in split]
-                lens = np.fromiter(map(len, rows), np.int32, len(rows))
                 if count_only:
-                    col = pa.array(lens, pa.int32())
+                    col = pa.array([sum(map(len, map(known.__getitem__, s))) for s in split], pa.int32())
                 else:
+                    rows = [list(chain.from_iterable(map(known.__getitem__, s))) for s in split]
+                    lens = np.fromiter(map(len, rows), np.int32, len(rows))
                     flat = np.fromiter(chain.from_iterable(rows), np.int32, int(lens.sum()))
                     offsets = np.concatenate(([0], np.cumsum(lens))).astype(np.int32)
                     col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

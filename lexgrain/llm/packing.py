@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgrain.llm.lexicon import encode
+from lexgrain.session import cut
 
 
 class OpenBins:
@@ -78,7 +79,7 @@ def pack(sizes: DataFrame, id_col: str, size_col: str, capacity: int, group_rows
     largest size); equal sizes go by id; an empty table gives an empty result.
     """
     items = sizes.select(F.col(id_col).cast("long").alias("id"), F.col(size_col).cast("long").alias("size")).where("id is not null and size > 0")
-    items = items.groupBy("id").agg(F.max("size").alias("size"))
+    items = cut(items.groupBy("id").agg(F.max("size").alias("size")))  # sizes may come from a costly encoding
     groups = max(1, math.ceil(items.count() / group_rows))
     items = items.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
     part = "struct<doc_id: bigint, start: bigint, size: bigint>"
