@@ -77,7 +77,7 @@ def close(a: str, b: str) -> bool:
     """The same word but for one slip or its sound."""
     if a == b or sound(a) == sound(b):
         return True
-    return min(len(a), len(b)) > 2 and one_edit(sound(a), sound(b)) and jaro_winkler(a, b) >= 0.8 or (min(len(a), len(b)) > 5 and jaro_winkler(a, b) >= 0.955)
+    return min(len(a), len(b)) > 2 and (one_edit(a, b) or one_edit(sound(a), sound(b))) and jaro_winkler(a, b) >= 0.8 or (min(len(a), len(b)) > 5 and jaro_winkler(a, b) >= 0.955)
 
 
 # ------------------------------------------------------------- blocking
@@ -279,6 +279,9 @@ def judge_parts(given: dict[str, str]) -> Callable:
         for i in range(len(forms)):
             for j in range(i + 1, len(forms)):
                 keys += ["|".join(("n", str(x), *sorted((forms[i][x // 2], forms[j][x % 2])))) if x in (0, 3) else "|".join(("n", "m", *sorted((forms[i][x // 2], forms[j][x % 2])))) for x in range(4)]
+                for x, y in ((i, j), (j, i)):
+                    if len(words[x]) > 6:
+                        keys.append(f"n|f|{code(words[x])}|{words[y][0]}")
         return p, keys
 
     return fn
