@@ -52,7 +52,7 @@ FORMS = {
         re.I,
     ),
     "markdown": re.compile(
-        r"^ {0,3}#{1,6}[ \t]+\S|\*\*(?=[^\s*])(?<!\n\*\*)(?<!\A\*\*)|(?<=[^\s*])\*\*|(?<!\w)__(?=[a-z])|(?<=[a-z])__(?!\w)|\]\(|^\[[^\]\n]+\]:\s*\S|\]\[|```|^~~~"
+        r"^ {0,3}#{1,6}[ \t]+\S|\*\*(?=[^\s*])(?<!\n\*\*)(?<!\A\*\*)|(?<=[^\s*])\*\*|(?<![\w])__(?=[^\W_])(?![A-Z]+__)|(?<=[a-z])__(?!\w)|\]\(|^\[[^\]\n]+\]:\s*\S|\]\[|```|^~~~"
         r"|(?<!`)`[^`\n]+`(?!`)|^-{3,}\s*$|^\s*\|?\s*:?-{2,}:?\s*\|[\s:|-]*$|^={4,}\s*$|^>\s+(?=[A-Z*])|~~(?=\S)|(?<=\S)~~|\[\^\w+\]|^\s*[-*+] \[[ xX]\]|!\[",
         re.M,
     ),
@@ -340,7 +340,7 @@ def _markdown(t: str) -> str:
     t = re.sub(r"(?m)^>\s?", "", t)
     t = re.sub(r"~~[^~\n]+~~[ ]?", "", t)  # struck out
     t = re.sub(r"\*\*(?=\S)([^*\n]*?)\*\*|(?<!\w)__(?=\S)([^_\n]*?)__(?!\w)", lambda m: m[1] or m[2] or "", t)
-    t = re.sub(r"(?<!^)\*\*(?=\S)|(?<=\S)\*\*|(?<!\w)__(?=[a-z])|(?<=[a-z])__(?!\w)", "", t)
+    t = re.sub(r"(?<!^)\*\*(?=\S)|(?<=\S)\*\*|(?<!\w)__(?=[^\W_])(?![A-Z]+__)|(?<=[a-z])__(?!\w)", "", t)
     return re.sub(r"(?<!`)`([^`\n]+)`(?!`)", r"\1", t)
 
 
