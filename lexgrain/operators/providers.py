@@ -198,7 +198,7 @@ def semantic_chunks(docs: DataFrame, make: Callable[[], Embedder], most: int = 6
 
 
 def align_claims(answers: DataFrame, evidence: DataFrame, make: Callable[[], Completer], supported: float = 0.6, partly: float = 0.3) -> DataFrame:
-    """(id, claim_no, claim, verdict, best): statements of an answer against the
+    """(id, claim_no, claim, finding, best): statements of an answer against the
     evidence texts of the same id; the share of a statement's words that the best
     text has decides. Statements without evidence are unsupported.
     answers(id, text), evidence(id, chunk, text)."""
@@ -210,8 +210,8 @@ def align_claims(answers: DataFrame, evidence: DataFrame, make: Callable[[], Com
     j = c.join(evidence.select("id", "chunk", F.col("text").alias("ev")), "id", "left")
     share = F.when(F.size(w) > 0, F.size(F.array_intersect(w, tokens(F.coalesce("ev", F.lit(""))))) / F.size(w)).otherwise(0.0)
     g = j.withColumn("share", share).groupBy("id", "claim_no", "claim").agg(F.round(F.max("share"), 6).alias("share"), F.max_by("chunk", F.struct("share", "chunk")).alias("best"))
-    verdict = F.when(F.col("share") >= supported, "supported").when(F.col("share") >= partly, "partial").otherwise("unsupported")
-    return g.select("id", "claim_no", "claim", verdict.alias("verdict"), "best", "share")
+    finding = F.when(F.col("share") >= supported, "supported").when(F.col("share") >= partly, "partial").otherwise("unsupported")
+    return g.select("id", "claim_no", "claim", finding.alias("finding"), "best", "share")
 
 
 def flare(segments: DataFrame, search: Callable[[DataFrame], DataFrame], have: DataFrame, low: float = 0.5, rounds: int = 5, top: int = 5) -> DataFrame:

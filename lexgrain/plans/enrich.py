@@ -37,7 +37,7 @@ def claims_alignment(spark, sf):
     asked = load(spark, sf, "queries").where("query_id % 100 = 0 and hyde_text is not null").groupBy("query_id").agg(F.max("hyde_text").alias("text"))
     hits = R.bm25_search(_chunks(spark, sf), "id", "text", asked, "query_id", "text", 5)
     ev = hits.join(_chunks(spark, sf), "id").select(F.col("query").alias("id"), F.col("id").alias("chunk"), "text")
-    return P.align_claims(asked.select(F.col("query_id").alias("id"), "text"), ev, P.provider("template")).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "verdict", "best", "share")
+    return P.align_claims(asked.select(F.col("query_id").alias("id"), "text"), ev, P.provider("template")).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "finding", "best", "share")
 
 
 def flare_retrieval(spark, sf):

@@ -31,3 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages survive the loss of any executor."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def collect_bounded(df: DataFrame, most: int) -> list:
+    """All rows of a table that is known to be small; an error, never a cut,
+    where it has more than ``most``."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows where a small table was expected")
+    return rows
