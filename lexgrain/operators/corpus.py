@@ -120,3 +120,13 @@ def run_summary(df: DataFrame, status: str) -> DataFrame:
     """One row of counters of a run."""
     c = lambda s: F.count_if(F.col(status) == s)
     return df.agg(F.count(F.lit(1)).alias("found"), c("processed").alias("processed"), c("skipped").alias("skipped"), c("failed").alias("failed"))
+
+
+def line_sections(df: DataFrame, id_col: str, text_col: str, heading: str) -> DataFrame:
+    """(id, section, heading, lines, chars): lines of a text grouped under the last
+    line that matches ``heading``; section 0 is what stands before the first."""
+    ln = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\r\n|\n|\r|\f")).alias("pos", "line"))
+    w = W.partitionBy("id").orderBy("pos")
+    ln = ln.withColumn("h", F.col("line").rlike(heading)).withColumn("section", F.sum(F.when(F.col("h"), 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    g = ln.groupBy("id", "section").agg(F.max(F.when(F.col("h"), F.trim("line"))).alias("heading"), F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).alias("chars"))
+    return g

@@ -1,8 +1,8 @@
 """All queries of the core: name -> (function, oracle SQL or None)."""
 
-from lexgrain.plans import corpus, enrich, graph, index, intervals, streams, verify
+from lexgrain.plans import corpus, enrich, flows, graph, index, intervals, streams, verify
 
-MODULES = [corpus, enrich, graph, index, intervals, streams, verify]
+MODULES = [corpus, enrich, flows, graph, index, intervals, streams, verify]
 
 
 def all_queries() -> dict[str, tuple]:

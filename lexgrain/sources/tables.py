@@ -75,3 +75,27 @@ def read_scoresheets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     marked = raw.withColumn("reason", bad)
     cols = [f.name for f in T.StructType.fromDDL(SCORES)]
     return marked.where("reason is null").select(*cols), marked.where("reason is not null").select(*cols, "reason")
+
+
+EVAL = (
+    "query_id string, query_text string, practice_area string, query_type string, expected_route string, expected_citations array<string>, expected_sections array<string>, "
+    "reference_answer string, temporal_test boolean, cross_reference_test boolean"
+)
+
+
+def read_eval_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """Test queries of a JSON array; a file that isn't one is an error."""
+    return spark.read.schema(EVAL).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
+def eval_inputs(tests: DataFrame, results: DataFrame) -> DataFrame:
+    """Test queries with the results of a run; tests without a result keep nulls,
+    and ``judged`` tells those with a response that isn't blank."""
+    j = tests.join(results, "query_id", "left")
+    return j.withColumn("judged", F.coalesce(F.trim("response_text") != "", F.lit(False)))
+
+
+def write_index(spark: SparkSession, path: str, postings: DataFrame, terms: DataFrame, vectors: DataFrame) -> dict[str, str]:
+    """The index as three keyed tables; each call adds a version."""
+    post = postings.withColumn("key", F.concat_ws("|", "id", "term"))
+    return {"postings": upsert(spark, f"{path}/postings", post, "key"), "terms": upsert(spark, f"{path}/terms", terms, "term"), "vectors": upsert(spark, f"{path}/vectors", vectors, "id")}
