@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from lexgrain.functions.text import tokens
 from lexgrain.functions.vector import cosine, head
+from lexgrain.session import cut
 
 K1, B = 1.2, 0.75
 
@@ -58,18 +59,16 @@ def bm25_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame,
     documents within reach of it are scored further; else (few queries) every
     posting counts.
     """
-    spark_docs = docs.select(id_col, text_col)
-    stats = corpus_stats(spark_docs, text_col)
-    posts = postings(spark_docs, id_col, text_col)
-    terms = term_stats(posts, stats)
+    tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("t")).where("size(t) > 0")
+    stats = F.broadcast(tok.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl")))
     q = queries.select(F.col(qid).alias("query"), tokens(F.col(qtext)).alias("t"))
     q = q.select("query", F.size("t").alias("ql"), F.explode("t").alias("term")).groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"), F.first("ql").alias("ql"))
-    wanted = q.select("term").distinct()
-    hit = posts.join(wanted, "term", "left_semi")
-    df = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    one = F.broadcast(stats)
-    terms = df.crossJoin(one).select("term", "df", "n", "avgdl", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
-    dw = hit.join(terms, "term").select("id", "term", (F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("dw"))
+    # of each text only the terms that some query has are counted; one pass over the texts, kept for all that follows
+    hit = tok.select("id", F.size("t").alias("dl"), F.explode("t").alias("term")).join(q.select("term").distinct(), "term", "left_semi")
+    hit = cut(hit.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")).crossJoin(stats))
+    terms = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.first("n").alias("n"), F.first("avgdl").alias("avgdl"))
+    terms = terms.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1))
+    dw = hit.join(terms.select("term", "idf"), "term").select("id", "term", (F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("dw"))
     qw = saturation(F.col("qtf"), F.col("ql"), F.col("avgdl")) * F.col("idf") if square_idf else F.col("qtf").cast("double")
     best = dw.groupBy("term").agg(F.max("dw").alias("most"))
     q = q.join(terms, "term").join(best, "term").select("query", "term", qw.alias("qw"), "most", (F.col("df") > common * F.col("n")).alias("is_common"))
