@@ -30,7 +30,7 @@ STRUCTURES = ("text", "heading", "list", "table", "code", "formula")
 #: texts of the bounded training sample
 SAMPLE = 6000
 #: a language is proposed from this probability on; the exact check follows
-PROPOSE = 0.05
+PROPOSE = 0.01
 WEIGHTS = Path(__file__).with_name("markup_weights.npz")
 
 # ------------------------------------------------------------------ forms

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexgrain.session import collect_bounded
+
 THRESHOLD = 0.5
 
 #: digits of Devanagari stand for themselves in numbers; same length, so that places stay
@@ -244,7 +246,7 @@ def personal_information(df: DataFrame, id_col: str, text_col: str, given: set[s
 def lexicon(table: DataFrame) -> tuple[set[str], set[str]]:
     """Given names with their familiar forms, and surnames, of name_lexicon (a
     table of fixed size)."""
-    rows = table.select("token", "role", "short_form").limit(10_000).collect()
+    rows = collect_bounded(table.select("token", "role", "short_form"), 100_000)
     given = {x for r in rows if r["role"] == "given" for x in (r["token"], r["short_form"]) if x}
     return given, {r["token"] for r in rows if r["role"] == "surname" and r["token"]}
 

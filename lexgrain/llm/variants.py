@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgrain.operators.components import connected_components
-from lexgrain.session import cut
+from lexgrain.session import collect_bounded, cut
 
 # ---------------------------------------------------------------- words
 
@@ -498,7 +498,7 @@ def pairs_within(edges: DataFrame) -> DataFrame:
 def act_links(spark, sf) -> DataFrame:
     from lexgrain.session import load
 
-    states = sorted({r["state"] for r in load(spark, sf, "court_list").select("state").limit(10_000).collect() if r["state"]})
+    states = sorted({r["state"] for r in collect_bounded(load(spark, sf, "court_list").select("state"), 100_000) if r["state"]})
     recs = parse(load(spark, sf, "acts"), ["act_id", "name", "number", "year", "jurisdiction"], act_parts(states))
     return link(cut(recs), same_act)
 
@@ -506,7 +506,7 @@ def act_links(spark, sf) -> DataFrame:
 def judge_links(spark, sf) -> DataFrame:
     from lexgrain.session import load
 
-    rows = load(spark, sf, "name_lexicon").where("role = 'given'").select("token", "short_form").limit(10_000).collect()
+    rows = collect_bounded(load(spark, sf, "name_lexicon").where("role = 'given'").select("token", "short_form"), 100_000)
     given = {x.lower(): r["token"].lower() for r in rows for x in (r["token"], r["short_form"]) if x}
     return judge_edges(parse(load(spark, sf, "judges"), ["judge_id", "name"], judge_parts(given)), _known(given))
 
@@ -514,7 +514,7 @@ def judge_links(spark, sf) -> DataFrame:
 def judgment_links(spark, sf) -> DataFrame:
     from lexgrain.session import load
 
-    rows = load(spark, sf, "cite_forms").select("abbrev", "full_form", "kind").limit(10_000).collect()
+    rows = collect_bounded(load(spark, sf, "cite_forms").select("abbrev", "full_form", "kind"), 100_000)
     forms = [(r[0], r[1], r[2]) for r in rows if r[0] and r[1]]
     return judgment_edges(load(spark, sf, "judgments"), "judgment_id", "citation", "alt_citations", forms)
 
