@@ -72,16 +72,17 @@ def bm25_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame,
     qw = saturation(F.col("qtf"), F.col("ql"), F.col("avgdl")) * F.col("idf") if square_idf else F.col("qtf").cast("double")
     best = dw.groupBy("term").agg(F.max("dw").alias("most"))
     q = q.join(terms, "term").join(best, "term").select("query", "term", qw.alias("qw"), "most", (F.col("df") > common * F.col("n")).alias("is_common"))
-    rare = q.where("not is_common").join(dw, "term").groupBy("query", "id").agg(F.sum(F.col("qw") * F.col("dw")).alias("s"))
+    q = cut(q)
+    rare = cut(q.where("not is_common").join(dw, "term").groupBy("query", "id").agg(F.sum(F.col("qw") * F.col("dw")).alias("s")))
     reach = q.where("is_common").groupBy("query").agg(F.sum(F.col("qw") * F.col("most")).alias("reach"))
     kth = top(rare, "query", "s", "id", k).where(F.col("rank") == k).select("query", F.col("s").alias("kth"))
     plan = q.select("query").distinct().join(reach, "query", "left").join(kth, "query", "left").select("query", F.coalesce("reach", F.lit(0.0)).alias("reach"), F.coalesce("kth", F.lit(-1.0)).alias("kth"))
     plan = plan.withColumn("safe", F.col("kth") > F.col("reach") + 1e-9)
     near = rare.join(plan.where("safe"), "query").where("s >= kth - reach - 1e-9").select("query", "id", "s")
-    more = q.where("is_common").join(dw, "term").select("query", "id", (F.col("qw") * F.col("dw")).alias("s"))
-    within = more.join(near.select("query", "id"), ["query", "id"], "left_semi")
+    common_terms = q.where("is_common").select("query", "term", "qw")
+    within = near.select("query", "id").join(common_terms, "query").join(dw, ["id", "term"]).select("query", "id", (F.col("qw") * F.col("dw")).alias("s"))
     rest = plan.where("not safe").select("query")
-    full = rare.join(rest, "query").select("query", "id", "s").unionByName(more.join(rest, "query").select("query", "id", "s"))
+    full = rare.join(rest, "query").select("query", "id", "s").unionByName(common_terms.join(rest, "query").join(dw, "term").select("query", "id", (F.col("qw") * F.col("dw")).alias("s")))
     scored = near.unionByName(within).unionByName(full).groupBy("query", "id").agg(F.round(F.sum("s"), 6).alias("score"))
     return top(scored.where("score > 0"), "query", "score", "id", k)
 
