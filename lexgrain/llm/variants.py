@@ -520,11 +520,17 @@ def judgment_links(spark, sf) -> DataFrame:
 
 
 def p1_found(spark, sf):
-    found = None
-    for node, links in (("act", act_links), ("judge", judge_links), ("judgment", judgment_links)):
-        part = pairs_within(links(spark, sf)).select(F.lit(node).alias("node"), "left_id", "right_id")
-        found = part if found is None else found.unionByName(part)
-    return found.distinct()
+    """All kinds of records share one run of components: the kind is kept in the
+    lowest two bits of the numbers."""
+    kinds = (("act", act_links), ("judge", judge_links), ("judgment", judgment_links))
+    edges = None
+    for k, (_, links) in enumerate(kinds):
+        e = links(spark, sf)
+        e = e.select(*[(F.shiftleft(F.col(c), 2) + k).alias(c) for c in ("src", "dst")])
+        edges = e if edges is None else edges.unionByName(e)
+    pairs = pairs_within(edges)
+    node = F.element_at(F.array(*[F.lit(n) for n, _ in kinds]), (F.col("left_id").bitwiseAND(F.lit(3)) + 1).cast("int"))
+    return pairs.select(node.alias("node"), *[F.shiftright(F.col(c), 2).alias(c) for c in ("left_id", "right_id")])
 
 
 QUERIES = {"p1_found": (p1_found, None)}
