@@ -13,4 +13,4 @@ def all_queries() -> dict[str, tuple]:
 
 
 def flagship(spark, sf):
-    return all_queries()["bm25_topk"][0](spark, sf)
+    return all_queries()["temporal_status"][0](spark, sf)
