@@ -25,15 +25,17 @@ from pyspark.sql import functions as F
 
 from lexgrain.session import cut
 
-# fixed values: letters and what scanners take them for
+# fixed values: letters and what scanners take them for, digits last
 CONFUSIONS = [
     ("a", "o"), ("e", "c"), ("i", "l"), ("t", "f"), ("h", "b"), ("d", "cl"), ("m", "rn"),
     ("n", "ri"), ("u", "ii"), ("li", "h"), ("w", "vv"), ("m", "in"), ("k", "lc"),
+    ("o", "0"), ("l", "1"), ("i", "1"), ("s", "5"), ("g", "9"), ("b", "6"), ("b", "8"), ("a", "4"),
 ]
 
 BREAK = re.compile(r"(?P<word>[^\W\d_]+(?:[-‐‑][^\W\d_]+)*)(?P<sign>[-‐‑‒¬­])[ \t\r]*$")
 START = re.compile(r"\s*(?P<word>[^\W\d_]+)")
-WORD = re.compile(r"[A-Za-z]{2,}(?:-[A-Za-z]+)*")
+#: a word, also with one of its letters read as a digit (one confusion undoes no more)
+WORD = re.compile(r"[A-Za-z]{2,}(?:-[A-Za-z]+)*|(?!(?:[A-Za-z-]*[0-9]){2})(?=(?:[0-9-]*[A-Za-z]){2})[A-Za-z0-9]{2,}(?:-[A-Za-z0-9]+)*")
 #: what may stand around a word
 AROUND = ".,;:!?()[]{}'\"“”‘’*_—–…"
 SIGNS = frozenset("-‐‑‒¬­")
@@ -86,13 +88,16 @@ def heading_like(line: str) -> bool:
     return bool(w) and w[0][0].isupper() and low <= 0.2 * len(w) and not s.endswith((":", ";", ","))
 
 
+def _gazette(s: str) -> bool:
+    return bool(GAZETTE.fullmatch(re.sub(r"(?<=[A-Za-z])[49](?=[A-Za-z])", "A", s))) and (s.upper() == s or "[" in s or s.istitle())
+
+
 def is_head(line: str, heads: list[str]) -> bool:
     """A running head: the gazette's, a numbered paper's, or (the start of) one
     of the document's titles, which may be cut off; one letter in eight may
     differ."""
     s = EDITION.sub("", NUMBER_SIDE.sub("", line).strip())
-    undone = re.sub(r"(?<=[A-Za-z])[49](?=[A-Za-z])", "A", s)
-    if GAZETTE.fullmatch(undone) and (s.upper() == s or "[" in s or s.istitle()) or NUMBERED.fullmatch(s):
+    if _gazette(s) or NUMBERED.fullmatch(s):
         return True
     a = _fold(s)
     if len(a) < 3:
@@ -107,7 +112,7 @@ def is_head(line: str, heads: list[str]) -> bool:
 def _title_shape(line: str) -> bool:
     """Heading-like and no part of a sentence, as far as form tells."""
     s = line.strip()
-    return heading_like(line) and bool(s.upper() == s or NUMBER_SIDE.search(line) or EDITION.search(s) or NUMBERED.search(s) or re.search(r"\bvs\b|\b(?:Act|Adhiniyam),?\s*\d{4}|^Act of \d{4}", s))
+    return heading_like(line) and bool(s.upper() == s or NUMBER_SIDE.search(line) or EDITION.search(s) or NUMBERED.search(s) or _gazette(EDITION.sub("", NUMBER_SIDE.sub("", line).strip())) or re.search(r"\bvs\b|\b(?:[A4]ct|Adhiniyam),?\s*(?:\d{4}|['’]\d\d)|^Act of \d{4}", s))
 
 
 def at_cut(line: str) -> re.Match | None:
@@ -161,7 +166,8 @@ def corrections(vocab: DataFrame, ratio: int = 8, often: int = 150, least: int =
     """(wrong, right, n): words that are one confusion away from a word at least
     ``ratio`` times as frequent; the most frequent one, then the first by name. A
     form that comes five times or more, or has three letters, is rather a word of
-    its own: there the other must be ``often`` times as frequent.
+    its own: there the other must be ``often`` times as frequent. One with a digit
+    is none however often it comes, and never a correction.
 
     The join is on the anagram hash of the word less the confusion's difference;
     the spelling is compared exactly afterwards.
@@ -171,8 +177,8 @@ def corrections(vocab: DataFrame, ratio: int = 8, often: int = 150, least: int =
     conf = spark.createDataFrame([(r, w, power(w) - power(r)) for r, w in CONFUSIONS], "r string, w string, delta long")
     hashed = vocab.where(f"length(word) >= {letters}").withColumn("h", F.expr("aggregate(split(word, ''), 0L, (a, c) -> a + cast(pow(ascii(c), 5) as bigint))"))
     rare = hashed.alias("x").join(F.broadcast(conf), F.expr("instr(x.word, w) > 0")).select(F.col("word").alias("wrong"), F.col("n").alias("nw"), "r", "w", (F.col("h") - F.col("delta")).alias("h"))
-    common = hashed.where(f"n >= {least}").select(F.col("word").alias("right"), F.col("n").alias("nr"), "h")
-    met = rare.join(common, "h").where(f"nr >= nw * if(nw >= 5 or length(wrong) <= 3, {often}, {ratio})")
+    common = hashed.where(f"n >= {least} and not word rlike '[0-9]'").select(F.col("word").alias("right"), F.col("n").alias("nr"), "h")
+    met = rare.join(common, "h").where(f"nr >= nw * if(nw >= 5 and not wrong rlike '[0-9]' or length(wrong) <= 3, {often}, {ratio})")
     exact = met.where("exists(sequence(1, length(wrong)), i -> substr(wrong, i, length(w)) = w and concat(substr(wrong, 1, i - 1), r, substr(wrong, i + length(w))) = right)")
     return exact.groupBy("wrong").agg(F.expr("max_by(right, struct(nr, reverse(right)))").alias("right"), F.max("nw").alias("n"))
 
@@ -302,7 +308,7 @@ def repair(text: str, edits: list[dict]) -> str:
         kept = out
     done = "\n".join(kept)
     if right:
-        done = re.sub(r"(?<![\w-])[A-Za-z]{2,}(?:-[A-Za-z]+)*(?![\w-])", lambda m: _cased(m[0], right[m[0].lower()]) if m[0].lower() in right else m[0], done)
+        done = re.sub(rf"(?<![\w-])(?:{WORD.pattern})(?![\w-])", lambda m: _cased(m[0], right[m[0].lower()]) if m[0].lower() in right else m[0], done)
     return done
 
 

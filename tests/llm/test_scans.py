@@ -48,3 +48,13 @@ def test_corrections_are_exact(spark):
 def test_empty(spark):
     s, t = tables(spark, [])
     assert S.traces(s, t).count() == 0
+
+
+def test_digits_within_words(spark):
+    v = spark.createDataFrame([("shall", 900), ("sha1l", 9), ("before", 500), ("bef0re", 1), ("defects", 90), ("defect5", 6), ("8oard", 2), ("board", 70), ("1st", 70), ("304b", 9), ("304h", 900)], "word string, n long")
+    assert {(r["wrong"], r["right"]) for r in S.corrections(v).collect()} == {("sha1l", "shall"), ("bef0re", "before"), ("defect5", "defects"), ("8oard", "board")}
+    rows = [*corpus(), ("g", "d", "The registrar sha1l hear, and the 0rder is valid.", None), ("h", "d", "Vol. 12]  THE ST4TE GAZETTE  [Part II\nThe Salt 4ct, 1990\nThe plea of 1 member in 19 and the 2nd order.", None)]
+    rows += [(f"q{i}", "x", "The state has an act and it shall see. " * 2, None) for i in range(30)]
+    edits = [r.asDict() for r in S.traces(*tables(spark, rows)).where("kind = 'misread'").collect()]
+    assert {(r["id"], r["a"], r["b"]) for r in edits} == {("g", "sha1l", "shall"), ("g", "0rder", "order")}
+    assert S.repair("The registrar SHA1L hear, and the 0rder is valid.", edits) == "The registrar SHALL hear, and the order is valid."
