@@ -14,15 +14,14 @@ distance is half a text's size, which unrelated texts also keep in any number of
 dimensions small enough for a grid. The cells of the grid are therefore taken
 from the rare end of the fingerprint: its hashes are put into the order of their
 corpus frequency (rarest first); similar sets must share a hash of their prefixes of
-|A| - ceil(t |A|) + 1 hashes, and m of them in prefixes longer by m - 1. A hash of
-a prefix that is seldom in the corpus is a cell of its own, which bounds the texts
-in it whatever the size of the corpus; hashes that aren't seldom name a cell only
-together with the two before them.
-Texts meet in a cell, in size range and under the Manhattan bound, in ``shared``
-cells if both have seldom prefixes, and only then have their whole sets compared. A
-link is found for certain if the two share
-a seldom hash in their prefixes; texts of frequent runs alone are found through
-their threes (measured loss: see README).
+|A| - ceil(t |A|) + 1 hashes, and m of them in prefixes longer by m - 1. Every hash
+of a prefix is a cell of its own, however frequent, so that each link is found for
+certain whatever the sketch says: its counts only make the order, which is the same
+for all texts.
+Texts meet in a cell, in size range, with enough hashes left behind the shared one
+and under the Manhattan bound, in ``shared`` cells if the longer prefixes of both are
+seldom throughout (at most ``rare`` occurrences), and only then have their whole sets
+compared.
 """
 
 from __future__ import annotations
@@ -163,21 +162,12 @@ def near_duplicates(
             h = h[o]
             start = np.concatenate(([0], np.cumsum(n)[:-1]))
             at = np.arange(len(h)) - start[doc]
-            prefix = np.minimum(np.maximum(n - np.ceil(threshold * n - 1e-9).astype(np.int64) + shared, 3), n)
-            key = _mix(h[:-2]) ^ h[1:-1]
-            key = _mix(key) ^ h[2:]
-            ok = (at[:-2] + 3 <= prefix[doc[:-2]]) & (doc[:-2] == doc[2:])
-            seldom = count[o] <= rare
-            ok &= ~seldom[2:]  # threes of seldom hashes only add nothing to their own cells
-            inside = at < prefix[doc]
-            alone = (seldom & inside) | (n[doc] <= 16)
-            # texts whose prefix is seldom throughout show every hash they share there
-            open_ = np.bincount(doc[inside & ~alone], minlength=d) == 0
-            key, of = np.concatenate((key[ok], _mix(h[alone] ^ MIX))), np.concatenate((doc[:-2][ok], doc[alone]))
-            # hashes from a seldom one on, in the corpus order; threes needn't begin with the first that two texts share
-            left = np.concatenate((n[doc[:-2][ok]], (n[doc] - at)[alone]))
-            by = np.argsort(of, kind="stable")
-            key, of, left = key[by], of[by], left[by]
+            strict = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+            prefix = np.minimum(strict + shared - 1, n)
+            # a prefix that is seldom throughout names its longer form, any other the one that is enough
+            open_ = np.bincount(doc[(at < prefix[doc]) & (count[o] > rare)], minlength=d) == 0
+            named = at < np.where(open_, prefix, strict)[doc]
+            key, of, left = _mix(h[named] ^ MIX), doc[named], (n[doc] - at)[named]
             yield pd.DataFrame({"cell": key.view(np.int64), "c": c[of], "n": n[of].astype(np.int32), "left": np.where(open_[of], n[of], left).astype(np.int32), "open": open_[of]} | {f"p{i}": p[of, i] for i in range(4)})
 
     names = ("c", "n", "left", "open", *(f"p{i}" for i in range(4)))

@@ -60,3 +60,16 @@ def test_empty(spark):
     df = spark.createDataFrame([], "id string, text string")
     links, members = N.near_duplicates(df, "id", "text")
     assert links.count() == 0 and N.pairs_of_members(links, members).count() == 0 and N.classes(links, members).count() == 0
+
+
+def test_hot_group_of_frequent_hashes_is_whole(spark):
+    r = random.Random(5)
+    base = [r.choice(WORDS) for _ in range(34)]
+    group = [" ".join(r.choice(WORDS) if r.random() < 0.09 else w for w in base) for _ in range(700)]
+    rows = [(f"h{i:03}", t) for i, t in enumerate(group)]
+    runs = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in map(str.split, group)]
+    want = {(rows[i][0], rows[j][0]) for i, j in combinations(range(700), 2) if 1.6 * len(runs[i] & runs[j]) >= 0.6 * (len(runs[i]) + len(runs[j])) - 1e-9}
+    df = spark.createDataFrame(rows, "id string, text string")
+    for bits in (20, 6):  # 6: every counter far above the bound
+        got = {tuple(x) for x in N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30, sketch_bits=bits)).collect()}
+        assert got == want
