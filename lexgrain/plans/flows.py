@@ -40,10 +40,25 @@ def filtered_search(spark, sf):
     return R.bm25_search(c, "id", "text", _asked(spark, sf), "query_id", "qtext", 10).select("query", "id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+#: what opens a channel of hits, in the words of channel_gate
+GATES = {"text": "bm25", "context": "bm25", "questions": "questions", "graph": "graph"}
+
+
+def fused_hits(spark, sf):
+    """All channels that serve a stated query, fused. Chunks have no vectors in
+    the tables, so there is no dense channel."""
+    asked = question_lookup(spark, sf).select("query", F.col("chunk").alias("id"), "score", "rank", F.lit("questions").alias("channel"))
+    named = _graph_hits(spark, sf).where("query_id % 100 = 0").select(F.col("query_id").alias("query"), "id", F.lit(1.0).alias("score"), "rank", F.lit("graph").alias("channel"))
+    hits = _channels(spark, sf).unionByName(asked).unionByName(named)
+    open_ = channel_gate(spark, sf).select(F.col("query_id").alias("query"), F.explode(F.split("channels", ",")).alias("gate"))
+    gate = F.create_map(*[F.lit(x) for kv in GATES.items() for x in kv])[F.col("channel")]
+    return R.rank_fusion(hits.withColumn("gate", gate).join(open_, ["query", "gate"], "left_semi"), 60, 150)
+
+
 def full_retrieval(spark, sf):
     """Channels, fusion, reranking and expansion in one plan."""
     asked, c = _asked(spark, sf), _chunks(spark, sf)
-    fused = R.rank_fusion(_channels(spark, sf), 60, 50)
+    fused = fused_hits(spark, sf)
     best = R.overlap_rerank(fused.select("query", "id", "rank"), asked.withColumnRenamed("query_id", "query"), c, 20)
     o = _once(spark, sf)
     size = o.select("id", F.coalesce("tok", F.lit(0)).alias("tok"))
@@ -94,13 +109,18 @@ def payload_json(spark, sf):
     return c.select("id", F.get_json_object("j", "$.document_type").alias("document_type"), F.get_json_object("j", "$.chunk_index").cast("bigint").alias("chunk_index"))
 
 
-def graph_search(spark, sf):
-    """Chunks of the sections that queries name, at most 50 a query."""
-    q = _queries(spark, sf).select("query_id", F.explode(L.section_references(F.col("text"))).alias("r")).select("query_id", F.lower("r.act").alias("act"))
-    c = load(spark, sf, "chunks").where("statute.act_name is not null").select(F.lower(F.regexp_replace("statute.act_name", ", \\d{4}$", "")).alias("act"), "id").distinct()
+def _graph_hits(spark, sf):
+    bare = lambda c: F.regexp_replace(F.lower(F.trim(c)), "^the |, \\d{4}$", "")  # noqa: E731 - queries leave out article and year
+    q = _queries(spark, sf).select("query_id", F.explode(L.section_references(F.col("text"))).alias("r")).select("query_id", bare(F.col("r.act")).alias("act"))
+    c = load(spark, sf, "chunks").where("statute.act_name is not null").select(bare(F.col("statute.act_name")).alias("act"), "id").distinct()
     w = W.partitionBy("query_id").orderBy("id")
     j = q.distinct().join(c, "act").select("query_id", "id").distinct()
-    return j.withColumn("rank", F.row_number().over(w)).where("rank <= 50").select("query_id", "id")
+    return j.withColumn("rank", F.row_number().over(w)).where("rank <= 50")
+
+
+def graph_search(spark, sf):
+    """Chunks of the sections that queries name, at most 50 a query."""
+    return _graph_hits(spark, sf).select("query_id", "id")
 
 
 def skewed_terms(spark, sf):

@@ -78,8 +78,8 @@ def dense_two_stage(spark, sf):
 
 
 def _channels(spark, sf):
-    """Three rankings of chunks for the stated queries: term search over the text
-    and over the contextualised text, and questions' own citing chunks."""
+    """Two rankings of chunks for the stated queries: term search over the text
+    and over the contextualised text."""
     asked = _asked(spark, sf)
     one = R.bm25_search(_chunks(spark, sf), "id", "text", asked, "query_id", "qtext", 50).withColumn("channel", F.lit("text"))
     ctx = load(spark, sf, "chunks").select("id", F.col("contextualized_text").alias("text")).where("text is not null").dropDuplicates(["id", "text"])
