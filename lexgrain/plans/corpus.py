@@ -228,6 +228,25 @@ def statute_chunks(spark, sf):
     return small.unionByName(parts).select("document_id", F.col("section").cast("bigint").alias("section"), F.col("piece").cast("bigint").alias("piece"), F.col("chars").cast("bigint").alias("chars"))
 
 
+def statute_pieces(spark, sf):
+    """As statute_chunks, but a group has all that is below its children, and what
+    is still beyond 1,500 tokens is cut at the limit: no part exceeds it."""
+    s = _sections(spark, sf)
+    a = s.where("level = 'section'").select("document_id", F.col("ord").alias("section"), F.col("last_desc").alias("last"))
+    j = a.join(s.select("document_id", "ord", "parent_ord", "level", F.coalesce("text", F.lit("")).alias("t")), "document_id").where("ord between section and last")
+    w = W.partitionBy("document_id", "section").orderBy("ord")
+    # pre-order: what is below a child follows it, and so falls into its group
+    starts = (F.col("parent_ord") == F.col("section")) & (~F.col("level").isin("proviso", "explanation") | (F.row_number().over(w) == 2))
+    j = j.withColumn("starts", F.coalesce(starts, F.lit(False)).cast("int")).withColumn("grp", F.sum("starts").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    j = j.withColumn("whole", F.sum(F.length("t")).over(W.partitionBy("document_id", "section")))
+    j = j.withColumn("piece", F.when(F.expr("whole div 4 <= 1500"), 0).otherwise(F.col("grp")))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]), "")
+    g = j.groupBy("document_id", "section", "piece").agg(text.alias("text"))
+    cut = F.when(F.expr("length(text) div 4 <= 1500"), F.array("text")).otherwise(K.fixed_pieces(F.col("text"), 6000))
+    p = g.select("document_id", "section", "piece", F.posexplode(cut).alias("part", "text"))
+    return p.select("document_id", F.col("section").cast("bigint").alias("section"), F.col("piece").cast("bigint").alias("piece"), F.col("part").cast("bigint").alias("part"), "text")
+
+
 def judgment_headers(spark, sf):
     """The header's id on every other part of a judgment."""
     s = _sections(spark, sf)
@@ -370,6 +389,7 @@ k AS (SELECT document_id, parent_ord AS p, ord, coalesce(length(text), 0) AS cha
 g AS (SELECT document_id, p, grp, sum(chars) AS chars FROM (SELECT *, sum(o) OVER (PARTITION BY document_id, p ORDER BY ord ROWS UNBOUNDED PRECEDING) AS grp FROM k) GROUP BY 1, 2, 3)
 SELECT document_id, ord::BIGINT AS section, 0::BIGINT AS piece, chars::BIGINT AS chars FROM t WHERE chars // 4 <= 1500 UNION ALL SELECT document_id, ord::BIGINT, 0, own::BIGINT FROM t WHERE chars // 4 > 1500
 UNION ALL SELECT g.document_id, g.p::BIGINT, g.grp::BIGINT, g.chars::BIGINT FROM g JOIN t ON g.document_id = t.document_id AND g.p = t.ord WHERE t.chars // 4 > 1500"""),
+    "statute_pieces": (statute_pieces, None),
     "judgment_headers": (judgment_headers, "WITH " + SECT + ", h AS (SELECT document_id, arg_min(section_id, ord) AS header FROM s WHERE level = 'header' GROUP BY 1) SELECT document_id, ord::BIGINT AS ord, header FROM s JOIN h USING (document_id) WHERE section_id <> header"),
     "page_level_chunks": (page_level_chunks, r"""WITH d AS (SELECT doc_id, CASE WHEN contains(text, chr(12)) THEN list_filter(string_split(text, chr(12)), lambda x: trim(regexp_replace(x, '[\r\n\t]', '', 'g')) <> '') ELSE list_transform(range(0, (length(text) + 5999) // 6000), lambda i: substr(text, i * 6000 + 1, 6000)) END AS p FROM documents WHERE text IS NOT NULL AND text <> '')
 SELECT doc_id, (generate_subscripts(p, 1) - 1)::BIGINT AS page, length(unnest(p)) AS chars FROM d"""),
