@@ -50,3 +50,9 @@ def test_empty_and_single(spark):
     assert V.similar_pairs(df, "id", "x", 64, 0.9).count() == 0 and V.nearest(df, "id", "x", 64, "true").count() == 0
     one = spark.createDataFrame([(0, [1.0] * 64)], "id long, x array<float>")
     assert V.similar_pairs(one, "id", "x", 64, 0.9).count() == 0 and V.nearest(one, "id", "x", 64, "true").count() == 0
+
+
+def test_nearest_is_asked_for_both_kinds_of_vectors(spark, data):
+    from lexgrain.llm import vectors
+
+    assert {r["kind"] for r in vectors.p6_nearest(spark, data).selectExpr("query % 2 AS kind").distinct().collect()} == {0, 1}
