@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgrain.session import cut
+from lexgrain.session import cut, joined
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -28,11 +28,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         # large star: every larger neighbour of u hangs itself under u's minimum
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = joined(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: every smaller neighbour of u hangs itself under u's minimum
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(small_low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            joined(large, small_low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small_low.select("u", F.col("m").alias("v")))
         )
         e = cut(small.distinct())

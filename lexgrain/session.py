@@ -15,14 +15,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` of the session is used as it is; only where it is
-    unset (tests, a laptop) a temporary folder is taken.
+    ``spark.checkpoint.dir`` of the session is used as it is. Where it is unset a
+    temporary folder is taken, but only if all runs in this process: on a cluster
+    other workers wouldn't find it, so that is an error.
     """
     sc = spark.sparkContext
     have = sc.getCheckpointDir()
     if have:
         return have
     wanted = spark.conf.get("spark.checkpoint.dir", None)
+    if not wanted and sc.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all workers share")
     sc.setCheckpointDir(wanted or tempfile.mkdtemp(prefix="lexgrain-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -33,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def joined(a: DataFrame, b: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by shuffle and merge, whatever sizes are estimated: behind a Python
+    step or a cut the estimates are far too small, and a side that grows with the
+    data would be broadcast."""
+    return a.join(b.hint("merge"), on, how)
+
+
 def collect_bounded(df: DataFrame, most: int) -> list:
     """All rows of a table that is known to be small; an error, never a cut,
     where it has more than ``most``."""
