@@ -22,6 +22,11 @@ Texts meet in a cell, in size range, with enough hashes left behind the shared o
 and under the Manhattan bound, in ``shared`` cells if the longer prefixes of both are
 seldom throughout (at most ``rare`` occurrences), and only then have their whole sets
 compared.
+
+Sizes that Spark estimates behind a Python step are far too small, so every join of
+cells, pairs and sets names its strategy: all are sort-merge joins over shuffles and
+nothing that grows with the data is broadcast. A cell of more than ``hot`` rows is cut
+into blocks, and each pair of blocks is a key of its own.
 """
 
 from __future__ import annotations
@@ -35,9 +40,10 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lexgrain.operators.components import connected_components
-from lexgrain.session import cut
+from lexgrain.session import cut, joined
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: hashes of a pair from which on it is looked at with 2048 segments
@@ -122,7 +128,8 @@ def _frequencies(norm: DataFrame, k: int, bits: int, blocks: int = 16) -> np.nda
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int | None = None, sketch_bits: int = 20, bitmap_bits: int = 24, rare: int = 64, shared: int = 3
+    df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int | None = None, sketch_bits: int = 20, bitmap_bits: int = 24, rare: int = 64, shared: int = 3,
+    hot: int = 4096,
 ) -> tuple[DataFrame, DataFrame]:
     """Links between different texts, and the members of each text.
 
@@ -172,14 +179,23 @@ def near_duplicates(
 
     names = ("c", "n", "left", "open", *(f"p{i}" for i in range(4)))
     grid = texts.select("_t").mapInPandas(cells, "cell long, c long, n int, left int, open boolean, " + ", ".join(f"p{i} long" for i in range(4)))
-    x, y = (grid.select("cell", *[F.col(q).alias(f"{q}{s}") for q in names]) for s in "xy")
+    grid = grid.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("cell")))
     bound, share = (1 - threshold) / (1 + threshold), threshold / (1 + threshold)
     far = " + ".join(f"bit_count(p{i}x ^ p{i}y)" for i in range(4))
-    met = x.join(y, "cell").where(
+    meets = (
         f"cx < cy and least(nx, ny) >= {threshold} * greatest(nx, ny) - 1e-9 and {far} <= {bound!r} * (nx + ny) + 1e-9 "
         # behind the first hash that two similar texts share lie all the others they share
         f"and least(leftx, lefty) >= {share!r} * (nx + ny) - 1e-9"
     )
+    side = lambda g, s, *keys: g.select(*keys, *[F.col(q).alias(f"{q}{s}") for q in names])
+    cold, split = grid.where(f"m <= {hot}"), grid.where(f"m > {hot}")
+    met = joined(side(cold, "x", "cell"), side(cold, "y", "cell"), "cell").where(meets)
+    # a hot cell is cut into blocks of some ``hot`` rows; block i of the one side meets block j of the other under a key of their own
+    split = split.withColumn("of", F.ceil(F.col("m") / hot).cast("int")).withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    ways = (("x", "own", "other"), ("y", "other", "own"))
+    one, two = (side(split, s, "cell", F.col(i).alias("i"), F.col(j).alias("j")) for s, i, j in ways)
+    met = met.unionByName(joined(one, two, ["cell", "i", "j"]).where(meets).drop("i", "j"))
     # similar texts share at least so many hashes within prefixes that are longer by as many less one
     least_shared = f"if(openx and openy, least({shared}, ceil({share!r} * (nx + ny) - 1e-9)), 1)"
     often = met.select("cell", F.col("cx").alias("a"), F.col("cy").alias("b"), F.expr(least_shared).cast("int").alias("need"), (F.col("nx") + F.col("ny")).alias("size"))
@@ -216,8 +232,9 @@ def near_duplicates(
             odd = np.bincount(doc * 2048 + (h >> np.uint64(53)).astype(np.int64), minlength=len(new) * 2048).reshape(len(new), 32, 64) & 1
             yield pd.DataFrame({"c": list(new), "s": pd.Series(list((odd * bit).sum(axis=2, dtype=np.uint64).view(np.int64)), dtype=object)})
 
-    g = texts.where(f"length(_t) > {LONG // 2}").select("_t").mapInPandas(segments, "c long, s array<long>").join(long_classes, "c", "left_semi").dropDuplicates(["c"])
-    seen = long.join(g.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a").join(g.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
+    g = texts.where(f"length(_t) > {LONG // 2}").select("_t").mapInPandas(segments, "c long, s array<long>")
+    g = joined(g, long_classes, "c", "left_semi").dropDuplicates(["c"])
+    seen = joined(joined(long, g.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a"), g.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
     apart = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
     cand = cut(cand.where(f"size <= {LONG}").select("a", "b").unionByName(seen.where(f"{apart} <= {bound!r} * size + 1e-9").select("a", "b")))
 
@@ -240,8 +257,8 @@ def near_duplicates(
             keep = [len(x) >= least for x in w]
             yield pd.DataFrame({"id": b["_id"][keep], "c": [_class(x) for x, ok in zip(w, keep) if ok]})
 
-    s = texts.select("_t").mapInPandas(sets, "c long, h array<long>").join(wanted, "c", "left_semi").groupBy("c").agg(F.first("h").alias("h"))
-    both = cand.join(s.select(F.col("c").alias("a"), F.col("h").alias("ha")), "a").join(s.select(F.col("c").alias("b"), F.col("h").alias("hb")), "b")
+    s = joined(texts.select("_t").mapInPandas(sets, "c long, h array<long>"), wanted, "c", "left_semi").groupBy("c").agg(F.first("h").alias("h"))
+    both = joined(joined(cand, s.select(F.col("c").alias("a"), F.col("h").alias("ha")), "a"), s.select(F.col("c").alias("b"), F.col("h").alias("hb")), "b")
     both = both.withColumn("_i", F.size(F.array_intersect("ha", "hb")))
     both = both.withColumn("similarity", F.col("_i") / (F.size("ha") + F.size("hb") - F.col("_i")))
     links = both.where(f"similarity >= {threshold} - 1e-12").select("a", "b", "similarity")
@@ -250,12 +267,13 @@ def near_duplicates(
 
 def pairs_of_members(links: DataFrame, members: DataFrame) -> DataFrame:
     """(left, right) with left < right: all pairs of ids in linked or equal classes."""
-    within = members.alias("m").join(members.groupBy("c").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("c"), "c", "left_semi")
-    same = within.select(F.col("id").alias("x"), "c").join(within.select(F.col("id").alias("y"), "c"), "c").where("x < y").select(F.col("x").alias("left"), F.col("y").alias("right"))
+    many = members.groupBy("c").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("c")
+    within = joined(members, many, "c", "left_semi")
+    same = joined(within.select(F.col("id").alias("x"), "c"), within.select(F.col("id").alias("y"), "c"), "c").where("x < y").select(F.col("x").alias("left"), F.col("y").alias("right"))
     ends = cut(links.select("a", "b"))
-    members = members.join(ends.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "c", "left_semi")
+    members = joined(members, ends.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "c", "left_semi")
     x, y = members.select(F.col("id").alias("x"), F.col("c").alias("a")), members.select(F.col("id").alias("y"), F.col("c").alias("b"))
-    across = ends.join(x, "a").join(y, "b").where("x <> y").select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"))
+    across = joined(joined(ends, x, "a"), y, "b").where("x <> y").select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"))
     return same.unionByName(across).distinct()
 
 
@@ -264,9 +282,9 @@ def classes(links: DataFrame, members: DataFrame) -> DataFrame:
     by links, links the number of other texts linked to its text."""
     deg = links.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("links"))
     comp = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))).select(F.col("node").alias("c"), "component")
-    m = members.join(comp, "c", "left").join(deg, "c", "left").withColumn("component", F.coalesce("component", "c"))
+    m = joined(joined(members, comp, "c", "left"), deg, "c", "left").withColumn("component", F.coalesce("component", "c"))
     low = m.groupBy("component").agg(F.min("id").alias("class"))
-    return m.join(low, "component").select("id", "class", F.coalesce("links", F.lit(0)).alias("links"))
+    return joined(m, low, "component").select("id", "class", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def similarity(a: str, b: str, k: int) -> float:

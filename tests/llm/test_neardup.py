@@ -73,3 +73,27 @@ def test_hot_group_of_frequent_hashes_is_whole(spark):
     for bits in (20, 6):  # 6: every counter far above the bound
         got = {tuple(x) for x in N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30, sketch_bits=bits)).collect()}
         assert got == want
+
+
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.checkpoint(eager=True)
+
+    from lexgrain.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    monkeypatch.setattr(N, "cut", cut)
+    links, members = N.near_duplicates(spark.createDataFrame(corpus(6), "id string, text string"), "id", "text", 0.6, 3, 30)
+    for df in (N.pairs_of_members(links, members), N.classes(links, members)):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) >= 5 and any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_cells_in_blocks_give_the_same(spark):
+    df = spark.createDataFrame(corpus(7), "id string, text string")
+    a = N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30))
+    b = N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30, hot=2))
+    assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
