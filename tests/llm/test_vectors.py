@@ -56,3 +56,24 @@ def test_nearest_is_asked_for_both_kinds_of_vectors(spark, data):
     from lexgrain.llm import vectors
 
     assert {r["kind"] for r in vectors.p6_nearest(spark, data).selectExpr("query % 2 AS kind").distinct().collect()} == {0, 1}
+
+
+def test_bit_counts_equal_plain_counts():
+    r = np.random.default_rng(2)
+    for n in (1, 65, 300):
+        q = V.buckets(V.unit_rows(r.standard_normal((n, 16)).astype(np.float32)), V.lines(16, 20, 1))
+        d = np.abs(q[:, None, :].astype(int) - q[None].astype(int))
+        for (radius, need), sets in zip(((8, 6), (30, 15)), [V.colliding(V.Sorted(q), q, [8, 30], x) for x in (6, 15)]):
+            got = set(zip(*map(np.ndarray.tolist, V.members(sets[0 if radius == 8 else 1]))))
+            assert got == {tuple(x) for x in np.argwhere((d <= radius).sum(2) >= need).tolist()}
+
+
+def test_many_blocks_and_parts_equal_brute_force(spark):
+    data = rows(9, 600)
+    # a common direction, so that signs alone would tell nothing
+    data = [(i, [x + 40.0 * float(np.abs(v).max()) * (k == 3) for k, x in enumerate(v)]) if i % 3 == 0 else (i, v) for i, v in data]
+    c = cosines(data)
+    want = {(i, j) for i in range(len(data)) for j in range(i + 1, len(data)) if c[i, j] >= 0.9}
+    df = spark.createDataFrame(data, "id long, x array<float>")
+    got = {(r["left"], r["right"]) for r in V.similar_pairs(df, "id", "x", 64, 0.9, block_rows=100, most_rows=60).collect()}
+    assert len(want & got) >= 0.999 * len(want) and got <= want
