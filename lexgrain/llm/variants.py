@@ -11,13 +11,14 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgrain.operators.components import connected_components
-from lexgrain.session import collect_bounded, cut
+from lexgrain.session import collect_bounded, cut, joined
 
 # ---------------------------------------------------------------- words
 
@@ -80,6 +81,14 @@ def close(a: str, b: str) -> bool:
     return min(len(a), len(b)) > 2 and (one_edit(a, b) or one_edit(sound(a), sound(b))) and jaro_winkler(a, b) >= 0.8 or (min(len(a), len(b)) > 5 and jaro_winkler(a, b) >= 0.955)
 
 
+@lru_cache(200_000)
+def slips(word: str) -> tuple[str, ...]:
+    """The phonetic skeleton of a word (the consonants of its sound) and all that it
+    becomes without one of its letters: words one slip apart share one."""
+    c = re.sub(r"[aeiouh]", "", sound(word))
+    return (c, *sorted({c[:i] + c[i + 1 :] for i in range(len(c))} - {c})) if len(c) > 2 else (c,)
+
+
 # ------------------------------------------------------------- blocking
 
 
@@ -91,11 +100,13 @@ def link(records: DataFrame, same: Callable[[dict, dict], bool]) -> DataFrame:
     so a spelling that a third of all rows have makes one row in its blocks; the
     others meet only within a block.
     """
-    reps = records.groupBy("sig").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
-    hang = records.join(reps.select("sig", F.col("id").alias("rep")), "sig").where("id <> rep").select(F.col("id").alias("src"), F.col("rep").alias("dst"))
-    k = reps.select("id", "sig", F.explode(F.array_distinct("keys")).alias("key"))
-    a, b = k.select("key", F.col("id").alias("i"), F.col("sig").alias("s")), k.select("key", F.col("id").alias("j"), F.col("sig").alias("t"))
-    pairs = a.join(b, "key").where("i < j").select("i", "j", "s", "t").distinct()
+    reps = cut(records.groupBy("sig").agg(F.min("id").alias("id"), F.first("keys").alias("keys")))
+    hang = joined(records, reps.select("sig", F.col("id").alias("rep")), "sig").where("id <> rep").select(F.col("id").alias("src"), F.col("rep").alias("dst"))
+    # blocks hold ids alone; the parts are fetched for the pairs that meet
+    k = reps.select("id", F.explode(F.array_distinct("keys")).alias("key"))
+    pairs = joined(k.select("key", F.col("id").alias("i")), k.select("key", F.col("id").alias("j")), "key").where("i < j").select("i", "j").distinct()
+    parts = reps.select("id", "sig")
+    pairs = joined(joined(pairs, parts.select(F.col("id").alias("i"), F.col("sig").alias("s")), "i"), parts.select(F.col("id").alias("j"), F.col("sig").alias("t")), "j")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parsed = lru_cache(50_000)(json.loads)
@@ -246,6 +257,20 @@ MIDDLE = frozenset("kumar das dev lal prasad narayan chandra nath mohan bai devi
 
 def judge_parts(given: dict[str, str]) -> Callable:
     """``given``: known given names and familiar forms -> given name, lower case."""
+    known = _known(given)
+    like = given_like(known)
+
+    cache: dict[str, list[str]] = {}
+
+    def meant(word: str) -> list[str]:
+        """A known given name, or those that a word may be a spelling of and its first two sounds (of a short word the first one, too)."""
+        if len(cache) > 200_000:
+            cache.clear()
+        if word not in cache:
+            c = slips(word)[0]
+            sounds = ["~" + c[:2]] + (["~~" + c[:1]] if len(c) < 3 else [])
+            cache[word] = [word] if word in known else [*(k for k in sorted(known) if like(word, k)), *sounds]
+        return cache[word]
 
     def fn(name):
         text = re.sub(r"['’]", "", name or "")
@@ -272,16 +297,14 @@ def judge_parts(given: dict[str, str]) -> Callable:
         words = sorted(given.get(w, w) for w in words)
         p = {"w": words, "i": initials, "m": middle}
         if len(words) == 1:
-            c = code(words[0])
-            return p, [f"s|{c[:3]}", f"e|{c[-3:]}"]
-        forms = [(c[:2], c[-2:]) for c in map(code, words[:4])]
+            return p, [f"s|{c}" for c in slips(words[0])]
+        # the skeleton of the one word, or all but a letter of it, with the known names that the other may be; or the whole skeleton with all but a letter of the other's
         keys = []
-        for i in range(len(forms)):
-            for j in range(i + 1, len(forms)):
-                keys += ["|".join(("n", str(x), *sorted((forms[i][x // 2], forms[j][x % 2])))) if x in (0, 3) else "|".join(("n", "m", *sorted((forms[i][x // 2], forms[j][x % 2])))) for x in range(4)]
-                for x, y in ((i, j), (j, i)):
-                    if len(words[x]) > 6:
-                        keys.append(f"n|f|{code(words[x])}|{words[y][0]}")
+        for x, y in permutations(words[:4], 2):
+            if x not in known and len(x) > 4:
+                names = meant(y)
+                keys += [f"n|{v}|{g}" for v in slips(x) for g in names]
+                keys += [] if y in known else [f"n|{slips(x)[0]}||{v}" for v in slips(y)]
         return p, keys
 
     return fn
@@ -291,8 +314,8 @@ def _known(given: dict[str, str]) -> frozenset[str]:
     return frozenset(given.values())
 
 
-def same_judge(known: frozenset[str]) -> Callable[[dict, dict], bool]:
-    def given_like(a: str, b: str) -> bool:
+def given_like(known: frozenset[str]) -> Callable[[str, str], bool]:
+    def fn(a: str, b: str) -> bool:
         if a in known and b in known:
             return a == b
         if close(a, b):
@@ -301,6 +324,12 @@ def same_judge(known: frozenset[str]) -> Callable[[dict, dict], bool]:
         # familiar forms that no table has: the start of the name, or its start with a short ending
         return 3 <= len(s) <= 5 and len(t) > len(s) and (t.startswith(s) or (s[:3] == t[:3] and s[-1] in "uiy"))
 
+    return fn
+
+
+def same_judge(known: frozenset[str]) -> Callable[[dict, dict], bool]:
+    like = given_like(known)
+
     def fn(p: dict, q: dict) -> bool:
         a, b = p["w"], q["w"]
         if len(a) < 2 or len(b) < 2 or len(a) != len(b):
@@ -313,7 +342,7 @@ def same_judge(known: frozenset[str]) -> Callable[[dict, dict], bool]:
         for x, y in ((0, 1), (1, 0)):
             # one word is the surname, the other the given name, in either order
             for u, v in ((0, 1), (1, 0)):
-                if close(a[x], b[u]) and len(a[x]) > 4 and a[x] not in known and given_like(a[y], b[v]):
+                if close(a[x], b[u]) and len(a[x]) > 4 and a[x] not in known and like(a[y], b[v]):
                     return True
         return False
 
@@ -343,11 +372,11 @@ def judge_edges(recs: DataFrame, known: frozenset[str]) -> DataFrame:
     """Edges between judges' records: full names among themselves, then bare
     surnames and initials with the only judge that they fit."""
     recs = cut(recs)
-    whole = recs.where("keys[0] like 'n|%'")
-    part = recs.where("keys[0] not like 'n|%'")
+    one = F.size(F.from_json(F.get_json_object("sig", "$.w"), "array<string>")) == 1
+    whole, part = recs.where(~one), recs.where(one)
     edges = cut(link(whole, same_judge(known)))
     comp = connected_components(edges).select(F.col("node").alias("id"), "component")
-    members = whole.join(comp, "id", "left").select("sig", F.coalesce("component", "id").alias("component")).distinct()
+    members = joined(whole, comp, "id", "left").select("sig", F.coalesce("component", "id").alias("component")).distinct()
 
     def surname_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -355,14 +384,13 @@ def judge_edges(recs: DataFrame, known: frozenset[str]) -> DataFrame:
             for s, c in zip(b["sig"], b["component"]):
                 for w in json.loads(s)["w"]:
                     if w not in known:
-                        k = code(w)
-                        rows += [(s, c, f"s|{k[:3]}"), (s, c, f"e|{k[-3:]}")]
+                        rows += [(s, c, f"s|{v}") for v in slips(w)]
             if rows:
                 yield pd.DataFrame(rows, columns=["t", "component", "key"])
 
     full = members.mapInPandas(surname_keys, "t string, component long, key string")
     bare = part.select("sig", "keys").dropDuplicates(["sig"]).select(F.col("sig").alias("s"), F.explode("keys").alias("key"))
-    pairs = bare.join(full, "key").select("s", "t", "component").distinct()
+    pairs = joined(bare, full, "key").select("s", "t", "component").distinct()
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parsed = lru_cache(50_000)(json.loads)
@@ -482,7 +510,7 @@ def judgment_edges(df: DataFrame, id_col: str, citation: str, alternatives: str,
 
     k = cut(c.mapInPandas(run, "id long, key string").distinct())
     low = k.groupBy("key").agg(F.min("id").alias("low"))
-    return k.join(low, "key").where("id <> low").select(F.col("id").alias("src"), F.col("low").alias("dst"))
+    return joined(k, low, "key").where("id <> low").select(F.col("id").alias("src"), F.col("low").alias("dst"))
 
 
 # -------------------------------------------------------------- queries
@@ -492,7 +520,7 @@ def pairs_within(edges: DataFrame) -> DataFrame:
     """(left_id, right_id), left < right: all pairs of a component."""
     c = cut(connected_components(edges))
     a, b = c.select("component", F.col("node").alias("left_id")), c.select("component", F.col("node").alias("right_id"))
-    return a.join(b, "component").where("left_id < right_id").select("left_id", "right_id")
+    return joined(a, b, "component").where("left_id < right_id").select("left_id", "right_id")
 
 
 def act_links(spark, sf) -> DataFrame:
