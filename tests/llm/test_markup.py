@@ -40,7 +40,7 @@ def test_gradients():
         for j, s in enumerate(seqs):
             for t in range(len(s)):
                 p = 1 / (1 + np.exp(-z[t, j, :4]))
-                w = 1 + 4 * lang[j][t]
+                w = 1 + lang[j][t]
                 total -= (w * (lang[j][t] * np.log(p) + (1 - lang[j][t]) * np.log(1 - p))).sum()
                 e = z[t, j, 4:]
                 total -= e[kind[j][t]] - np.log(np.exp(e).sum())
@@ -57,15 +57,32 @@ def test_gradients():
         assert (up - down) / (2 * eps) == pytest.approx(g[k][at], abs=2e-3)
 
 
-def test_training_learns_and_weights_find():
-    texts = [f"<p>Rent {i}</p>\nplain text here." if i % 2 else f"plain rent {i} < {i + 5}.\n* starred text here." for i in range(60)]
-    model = M.train(texts, epochs=60)
-    z = model.label([M.vectors(t, M.blocks(t)) for t in texts])
-    assert all((x[:, 0].max() > 0) == bool(i % 2) for i, x in enumerate(z))
-    shipped = M.Labeller.load()
-    for t in ("<div class=\"x\">Bail", "x **bold** y", "See [[Levy]].", "\\item one"):
-        p = M._sigmoid(shipped.label([M.vectors(t, M.blocks(t))])[0][:, :4].max(0))
-        assert p[M.LANGUAGES.index(M.languages(t)[0])] >= M.PROPOSE
+CLEAN = ["The tenant paid rent to the landlord\nThe appeal is allowed with costs\nSection twelve applies to the lease of the premises\nNo order is made\nThe bench heard both sides"] * 3
+
+
+def test_training_learns():
+    model = M.train(CLEAN, documents=1500, epochs=8, hidden=12, batch=32, rate=8e-3)
+    docs = list(M.planted(CLEAN, 200, 5))
+    recall, precision = M.score(model, docs)
+    assert recall > 0.85 and precision > 0.85
+
+
+def test_shipped_weights_decide_on_documents_made_from_other_text():
+    docs = list(M.planted(CLEAN, 1500, 6))
+    model = M.Labeller.load()
+    want = [{k for i, k in enumerate(M.LANGUAGES) if lang[:, i].any()} for _, _, lang, _ in docs]
+    plain = [set(M.languages(t)) for t, _, _, _ in docs]
+    forms_alone = sum(len(a & b) for a, b in zip(plain, want)) / sum(map(len, plain))
+    recall, precision = M.score(model, docs)
+    assert recall >= 0.98 and precision >= 0.97 and precision > forms_alone
+    assert min(M.score(model, docs, hide=True)) > 0.9  # the named forms aren't the final word
+
+
+def test_labels_of_plants_are_where_they_were_put():
+    for text, spans, lang, kind in M.planted(CLEAN, 100, 7):
+        assert len(spans) == len(lang) == len(kind)
+        for (a, e), x in zip(spans, lang):
+            assert not x.any() or set(text[a:e]) & set("<>&*_#[]{}|\\=`~$'-")
 
 
 def test_batches_do_not_matter():
