@@ -26,10 +26,16 @@ def resolve_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return a.join(n.select(F.col("label").alias("to_label"), F.col("key").alias("to_key")), ["to_label", "to_key"], "left_semi").select(*edges.columns)
 
 
-def edge(rows: DataFrame, kind: str, from_label: str, from_key: Column, to_label: str, to_key: Column) -> DataFrame:
-    """Edges of one kind, each once, without null ends."""
-    e = rows.select(F.lit(from_label).alias("from_label"), from_key.cast("string").alias("from_key"), F.lit(kind).alias("kind"), F.lit(to_label).alias("to_label"), to_key.cast("string").alias("to_key"))
-    return e.where("from_key is not null and to_key is not null").distinct()
+def ends(edges: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Edges whose end ``key`` is among the known nodes."""
+    return edges.join(known.select(key).distinct(), key, "left_semi")
+
+
+def lower_overrules(edges: DataFrame, levels: DataFrame) -> DataFrame:
+    """(overruler, overruled) of edges from a court of lower rank, that is a greater
+    level number, than the overruled judgment's; levels(key, court_level)."""
+    a, b = levels.select(F.col("key").alias("from_key"), F.col("court_level").alias("a")), levels.select(F.col("key").alias("to_key"), F.col("court_level").alias("b"))
+    return edges.join(a, "from_key").join(b, "to_key").where("a > b").select(F.col("from_key").alias("overruler"), F.col("to_key").alias("overruled"))
 
 
 def version_at(versions: DataFrame, points: DataFrame, keys: list[str], point: str, start: str, end: str, version: str) -> DataFrame:
