@@ -261,6 +261,11 @@ def judge_parts(given: dict[str, str]) -> Callable:
     like = given_like(known)
 
     cache: dict[str, list[str]] = {}
+    # known names by their skeletons less a letter and by their first letters; short skeletons all together
+    near: dict[str, set[str]] = {}
+    for k in known:
+        for v in (*slips(k), f"^{k[:3]}", *(["^"] if len(slips(k)[0]) < 4 else [])):
+            near.setdefault(v, set()).add(k)
 
     def meant(word: str) -> list[str]:
         """A known given name, or those that a word may be a spelling of and its first two sounds (of a short word the first one, too)."""
@@ -269,7 +274,8 @@ def judge_parts(given: dict[str, str]) -> Callable:
         if word not in cache:
             c = slips(word)[0]
             sounds = ["~" + c[:2]] + (["~~" + c[:1]] if len(c) < 3 else [])
-            cache[word] = [word] if word in known else [*(k for k in sorted(known) if like(word, k)), *sounds]
+            some = {k for v in (*slips(word), f"^{word[:3]}", *(["^"] if len(c) < 4 else [])) for k in near.get(v, ())}
+            cache[word] = [word] if word in known else [*(k for k in sorted(some) if like(word, k)), *sounds]
         return cache[word]
 
     def fn(name):
