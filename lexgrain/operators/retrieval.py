@@ -8,16 +8,8 @@ from pyspark.sql import Window as W
 
 from lexgrain.functions.text import tokens
 from lexgrain.functions.vector import cosine, head
-from lexgrain.session import cut
-
-K1, B = 1.2, 0.75
-
-
-def top(df: DataFrame, by: str, score: str, tie: str, k: int) -> DataFrame:
-    """The k best rows per ``by`` with their rank (1..k)."""
-    w = W.partitionBy(by).orderBy(F.desc(score), F.asc(tie))
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
+from lexgrain.operators import lexical
+from lexgrain.operators.lexical import saturation, top
 
 # ------------------------------------------------------------------ BM25
 
@@ -36,11 +28,7 @@ def corpus_stats(docs: DataFrame, text_col: str) -> DataFrame:
 def term_stats(posts: DataFrame, stats: DataFrame) -> DataFrame:
     """(term, df, idf)."""
     df = posts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return df.crossJoin(F.broadcast(stats)).select("term", "df", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
-
-
-def saturation(tf: Column, dl: Column, avgdl: Column) -> Column:
-    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / F.greatest(avgdl, F.lit(1.0))))
+    return df.crossJoin(F.broadcast(stats)).select("term", "df", lexical.idf(F.col("n"), F.col("df")).alias("idf"))
 
 
 def bm25_weights(posts: DataFrame, terms: DataFrame, stats: DataFrame) -> DataFrame:
@@ -50,41 +38,8 @@ def bm25_weights(posts: DataFrame, terms: DataFrame, stats: DataFrame) -> DataFr
 
 
 def bm25_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid: str, qtext: str, k: int, common: float = 0.05, square_idf: bool = True) -> DataFrame:
-    """(query, id, score, rank): the k best documents per query, exactly.
-
-    Queries and documents carry the same weights (``square_idf``), or queries
-    plain counts. Terms in more than the share ``common`` of the documents have
-    long postings and little weight: documents are first scored by the rarer
-    terms alone. If the k-th of these exceeds all that common terms can add, only
-    documents within reach of it are scored further; else (few queries) every
-    posting counts.
-    """
-    tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("t")).where("size(t) > 0")
-    stats = F.broadcast(tok.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl")))
-    q = queries.select(F.col(qid).alias("query"), tokens(F.col(qtext)).alias("t"))
-    q = q.select("query", F.size("t").alias("ql"), F.explode("t").alias("term")).groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"), F.first("ql").alias("ql"))
-    # of each text only the terms that some query has are counted; one pass over the texts, kept for all that follows
-    hit = tok.select("id", F.size("t").alias("dl"), F.explode("t").alias("term")).join(q.select("term").distinct(), "term", "left_semi")
-    hit = cut(hit.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")).crossJoin(stats))
-    terms = hit.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.first("n").alias("n"), F.first("avgdl").alias("avgdl"))
-    terms = terms.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1))
-    dw = hit.join(terms.select("term", "idf"), "term").select("id", "term", (F.col("idf") * saturation(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("dw"))
-    qw = saturation(F.col("qtf"), F.col("ql"), F.col("avgdl")) * F.col("idf") if square_idf else F.col("qtf").cast("double")
-    best = dw.groupBy("term").agg(F.max("dw").alias("most"))
-    q = q.join(terms, "term").join(best, "term").select("query", "term", qw.alias("qw"), "most", (F.col("df") > common * F.col("n")).alias("is_common"))
-    q = cut(q)
-    rare = cut(q.where("not is_common").join(dw, "term").groupBy("query", "id").agg(F.sum(F.col("qw") * F.col("dw")).alias("s")))
-    reach = q.where("is_common").groupBy("query").agg(F.sum(F.col("qw") * F.col("most")).alias("reach"))
-    kth = top(rare, "query", "s", "id", k).where(F.col("rank") == k).select("query", F.col("s").alias("kth"))
-    plan = q.select("query").distinct().join(reach, "query", "left").join(kth, "query", "left").select("query", F.coalesce("reach", F.lit(0.0)).alias("reach"), F.coalesce("kth", F.lit(-1.0)).alias("kth"))
-    plan = plan.withColumn("safe", F.col("kth") > F.col("reach") + 1e-9)
-    near = rare.join(plan.where("safe"), "query").where("s >= kth - reach - 1e-9").select("query", "id", "s")
-    common_terms = q.where("is_common").select("query", "term", "qw")
-    within = near.select("query", "id").join(common_terms, "query").join(dw, ["id", "term"]).select("query", "id", (F.col("qw") * F.col("dw")).alias("s"))
-    rest = plan.where("not safe").select("query")
-    full = rare.join(rest, "query").select("query", "id", "s").unionByName(common_terms.join(rest, "query").join(dw, "term").select("query", "id", (F.col("qw") * F.col("dw")).alias("s")))
-    scored = near.unionByName(within).unionByName(full).groupBy("query", "id").agg(F.round(F.sum("s"), 6).alias("score"))
-    return top(scored.where("score > 0"), "query", "score", "id", k)
+    """:func:`lexgrain.operators.lexical.search` over an index made for the purpose."""
+    return lexical.search(lexical.build(docs, id_col, text_col), queries, qid, qtext, k, common, square_idf)
 
 
 # --------------------------------------------------------------- vectors

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lexgrain.operators import providers as P
 from lexgrain.operators import retrieval as R
-from lexgrain.plans.index import _asked, _chunks
+from lexgrain.plans.index import _asked, _chunks, found
 from lexgrain.session import load
 
 
@@ -44,7 +44,7 @@ def flare_retrieval(spark, sf):
     """New chunks for the stated queries' own texts, all of low confidence."""
     asked = _asked(spark, sf).select(F.col("query_id").alias("query"), F.lit(0).alias("seg"), F.col("qtext").alias("text"), F.lit(0.4).alias("confidence"))
     ctx = load(spark, sf, "chunks").select("id", F.col("contextualized_text").alias("text")).where("text is not null").dropDuplicates(["id", "text"])
-    have = R.bm25_search(_chunks(spark, sf), "id", "text", _asked(spark, sf), "query_id", "qtext", 3)
+    have = found(spark, sf, 3)
     return P.flare(asked, lambda q: R.bm25_search(ctx, "id", "text", q, "query", "text", 5), have)
 
 

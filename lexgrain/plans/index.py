@@ -5,8 +5,9 @@ from pyspark.sql import Window as W
 
 from lexgrain.functions.text import tokens
 from lexgrain.functions.vector import cosine, head
+from lexgrain.operators import lexical as L
 from lexgrain.operators import retrieval as R
-from lexgrain.session import load
+from lexgrain.session import load, stamp
 
 
 def _chunks(spark, sf):
@@ -19,6 +20,23 @@ def _asked(spark, sf):
     return load(spark, sf, "queries").where("query_id % 100 = 0 and text is not null").groupBy("query_id").agg(F.max("text").alias("qtext"))
 
 
+_INDEXES: dict[tuple[str, ...], L.LexicalIndex] = {}
+
+
+def text_index(spark, sf, column="text"):
+    """The stored index of the chunks' texts, or contextualised texts: built once for
+    a state of the table, then read by all searches of the session."""
+    key = (spark.sparkContext.applicationId, column, sf, stamp(spark, f"{sf}/chunks.parquet"))
+    if key not in _INDEXES:
+        _INDEXES[key] = L.build(load(spark, sf, "chunks").select("id", F.col(column).alias("text")).where("text is not null").dropDuplicates(["id", "text"]), "id", "text")
+    return _INDEXES[key]
+
+
+def found(spark, sf, k, column="text"):
+    """The k best chunks of every stated query."""
+    return L.search(text_index(spark, sf, column), _asked(spark, sf), "query_id", "qtext", k)
+
+
 C = "c AS (SELECT DISTINCT id, text FROM chunks WHERE text IS NOT NULL)"
 P = C + """, tok AS (SELECT id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM c),
 d AS (SELECT id, len(t) AS dl, t FROM tok WHERE len(t) > 0),
@@ -41,7 +59,7 @@ def bm25_weights(spark, sf):
 
 
 def bm25_topk(spark, sf):
-    return R.bm25_search(_chunks(spark, sf), "id", "text", _asked(spark, sf), "query_id", "qtext", 10).select("query", "id", "score", F.col("rank").cast("bigint").alias("rank"))
+    return found(spark, sf, 10).select("query", "id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
 BM25_SQL = P + ", " + Q + """, qt AS (SELECT query_id, len(t) AS ql, unnest(t) AS term FROM (SELECT query_id, regexp_extract_all(lower(qtext), '[a-z0-9]+') AS t FROM q)),
@@ -80,10 +98,8 @@ def dense_two_stage(spark, sf):
 def _channels(spark, sf):
     """Two rankings of chunks for the stated queries: term search over the text
     and over the contextualised text."""
-    asked = _asked(spark, sf)
-    one = R.bm25_search(_chunks(spark, sf), "id", "text", asked, "query_id", "qtext", 50).withColumn("channel", F.lit("text"))
-    ctx = load(spark, sf, "chunks").select("id", F.col("contextualized_text").alias("text")).where("text is not null").dropDuplicates(["id", "text"])
-    two = R.bm25_search(ctx, "id", "text", asked, "query_id", "qtext", 50).withColumn("channel", F.lit("context"))
+    one = found(spark, sf, 50).withColumn("channel", F.lit("text"))
+    two = found(spark, sf, 50, "contextualized_text").withColumn("channel", F.lit("context"))
     return one.unionByName(two)
 
 
@@ -112,7 +128,7 @@ SELECT query, id, score, channels, source, rank FROM r WHERE rank <= 20"""
 def rerank_overlap(spark, sf):
     asked = _asked(spark, sf)
     c = _chunks(spark, sf)
-    hits = R.bm25_search(c, "id", "text", asked, "query_id", "qtext", 50)
+    hits = found(spark, sf, 50)
     out = R.overlap_rerank(hits, asked.withColumnRenamed("query_id", "query"), c, 20)
     return out.select("query", "id", "score", F.col("rank").cast("bigint").alias("rank"))
 
@@ -132,7 +148,7 @@ def _once(spark, sf):
 
 def context_expand_budget(spark, sf):
     """Ranked hits with parent and header, 2,500 tokens a query."""
-    hits = R.bm25_search(_chunks(spark, sf), "id", "text", _asked(spark, sf), "query_id", "qtext", 20)
+    hits = found(spark, sf, 20)
     c = _once(spark, sf)
     size = c.select("id", F.coalesce("tok", F.lit(0)).alias("tok"))
     j = hits.join(c, "id").join(size.select(F.col("id").alias("parent"), F.col("tok").alias("pt")), "parent", "left")

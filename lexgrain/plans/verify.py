@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lexgrain.functions import legal as L
 from lexgrain.operators import retrieval as R
 from lexgrain.operators import verification as V
-from lexgrain.plans.index import BM25_SQL, _asked, _chunks
+from lexgrain.plans.index import BM25_SQL, _asked, _chunks, found
 from lexgrain.session import load
 
 TODAY = "2025-06-30"
@@ -97,7 +97,7 @@ def caveat_append(spark, sf):
 
 
 def _hits(spark, sf, k):
-    return R.bm25_search(_chunks(spark, sf), "id", "text", _asked(spark, sf), "query_id", "qtext", k)
+    return found(spark, sf, k)
 
 
 def _meta(spark, sf):

@@ -50,3 +50,10 @@ def collect_bounded(df: DataFrame, most: int) -> list:
     if len(rows) > most:
         raise ValueError(f"more than {most} rows where a small table was expected")
     return rows
+
+
+def stamp(spark: SparkSession, path: str) -> str:
+    """What tells a table's state apart: sizes and times of its files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return ",".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p)))
