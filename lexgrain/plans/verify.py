@@ -132,42 +132,6 @@ def citation_accuracy(spark, sf):
     return v.groupBy("query_id").agg(F.count(F.lit(1)).alias("citations"), F.round(F.avg((F.col("status") == "verified").cast("double")), 6).alias("accuracy"))
 
 
-TARGETS = {"click": 20.0, "view": 40.0, "purchase": 80.0, "signup": 60.0, "error": 10.0}
-
-
-def latency_per_route(spark, sf):
-    e = load(spark, sf, "events").where("value is not null")
-    ok = V.latency_pass(F.col("value"), F.col("event_type"), TARGETS, "view")
-    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.avg(ok.cast("double")), 6).alias("pass_rate"), F.round(F.expr("percentile(value, 0.95)"), 4).alias("p95"))
-
-
-def qi_metrics(spark, sf):
-    """Ratios over all queries: answers generated, route known, date given."""
-    q = _queries(spark, sf)
-    n = F.count(F.lit(1))
-    return q.agg(n.alias("queries"), F.round(V.ratio(F.count("hyde_text"), n), 6).alias("generated"), F.round(V.ratio(F.count("route"), n), 6).alias("routed"), F.round(V.ratio(F.count("reference_date"), n), 6).alias("dated"))
-
-
-def human_eval_agg(spark, sf):
-    """Means of four scores of 1..5 and the share of 4 and more, by evaluator;
-    scores outside are left out."""
-    e = load(spark, sf, "events").select((F.col("user_id") % 7).alias("evaluator"), (1 + F.col("event_id") % 6).cast("int").alias("accuracy"), (1 + F.col("user_id") % 5).cast("int").alias("usefulness")).where("accuracy between 1 and 5")
-    return e.groupBy("evaluator").agg(F.round(F.avg("accuracy"), 6).alias("accuracy"), F.round(F.avg("usefulness"), 6).alias("usefulness"), F.round(F.avg((F.col("accuracy") >= 4).cast("double")), 6).alias("pass_rate"))
-
-
-def judge_means(spark, sf):
-    """Means of judged scores by parser, missing and NaN as 0."""
-    d = load(spark, sf, "parsed_documents")
-    s = F.coalesce(F.nanvl("quality.overall_score", F.lit(0.0)), F.lit(0.0))
-    o = F.coalesce(F.nanvl("ocr_confidence", F.lit(0.0)), F.lit(0.0))
-    return d.groupBy("parser_used").agg(F.round(F.avg(s), 6).alias("quality"), F.round(F.avg(o), 6).alias("ocr"))
-
-
-def targets_report(spark, sf):
-    m = judge_means(spark, sf)
-    return m.select("parser_used", (F.col("quality") >= 0.85).alias("quality_ok"), (F.col("ocr") >= 0.8).alias("ocr_ok"))
-
-
 def eval_cube(spark, sf):
     e = load(spark, sf, "events").withColumn("day", F.dayofweek("ts").cast("bigint"))
     return e.rollup("event_type", "day").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
@@ -192,7 +156,6 @@ SREF = f"""{Q}, sr AS (SELECT query_id, reference_date, unnest(regexp_extract_al
 sf AS (SELECT query_id, reference_date, section, regexp_replace(trim(act0), '[?!,.;:]+$', '') AS act1 FROM sr),
 sref AS (SELECT query_id, reference_date, section, CASE lower(act1) {' '.join(f"WHEN '{a}' THEN '{_re(n)}'" for a, n in L.ACT_ALIASES.items())} ELSE act1 END AS act FROM sf)"""
 CITED = f"cited AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{L.FAMILIES['scc']}'))) AS citation FROM documents WHERE text IS NOT NULL), known AS (SELECT citation FROM judgments UNION SELECT unnest(alt_citations) FROM judgments), kv AS (SELECT citation FROM known WHERE citation IS NOT NULL), ver AS (SELECT doc_id, citation, CASE WHEN citation IN (SELECT citation FROM kv) THEN 'verified' ELSE 'not_found' END AS status FROM cited)"
-CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in TARGETS.items())
 
 QUERIES = {
     "query_router": (query_router, f"WITH {ROUTE} SELECT query_id, route, confidence, signals FROM rt"),
@@ -216,10 +179,5 @@ w AS (SELECT query_id AS query, list_distinct(regexp_extract_all(qtext, 'section
 f AS (SELECT query, want, len(list_filter(want, lambda x: regexp_matches(coalesce(t, ''), '\b' || lower(x) || '\b'))) AS found FROM w LEFT JOIN h USING (query))
 SELECT query, len(want) AS expected, found, CASE WHEN len(want) > 0 THEN round(found * 1.0 / len(want), 6) ELSE 1.0 END::DOUBLE AS score FROM f"""),
     "citation_accuracy": (citation_accuracy, f"WITH {Q}, a AS (SELECT query_id, unnest(list_distinct(regexp_extract_all(hyde_text, '{L.FAMILIES['scc']}'))) AS citation FROM q WHERE hyde_text IS NOT NULL), k AS (SELECT DISTINCT unnest(content.cases_cited) AS k FROM chunks), k2 AS (SELECT k FROM k WHERE k IS NOT NULL) SELECT query_id, count(*) AS citations, round(avg((citation IN (SELECT k FROM k2))::INT), 6) AS accuracy FROM a GROUP BY 1"),
-    "latency_per_route": (latency_per_route, f"SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean, round(avg((value <= CASE event_type {CASES} ELSE 40 END)::INT), 6) AS pass_rate, round(quantile_cont(value, 0.95), 4) AS p95 FROM events WHERE value IS NOT NULL GROUP BY 1"),
-    "qi_metrics": (qi_metrics, f"WITH {Q} SELECT count(*) AS queries, round(count(hyde_text)::DOUBLE / count(*), 6) AS generated, round(count(route)::DOUBLE / count(*), 6) AS routed, round(count(reference_date)::DOUBLE / count(*), 6) AS dated FROM q"),
-    "human_eval_agg": (human_eval_agg, "WITH e AS (SELECT user_id % 7 AS evaluator, 1 + event_id % 6 AS accuracy, 1 + user_id % 5 AS usefulness FROM events) SELECT evaluator, round(avg(accuracy), 6) AS accuracy, round(avg(usefulness), 6) AS usefulness, round(avg((accuracy >= 4)::INT), 6) AS pass_rate FROM e WHERE accuracy BETWEEN 1 AND 5 GROUP BY 1"),
-    "judge_means": (judge_means, "SELECT parser_used, round(avg(CASE WHEN isnan(quality.overall_score) THEN 0.0 ELSE coalesce(quality.overall_score, 0.0) END), 6) AS quality, round(avg(CASE WHEN isnan(ocr_confidence) THEN 0.0 ELSE coalesce(ocr_confidence, 0.0) END), 6) AS ocr FROM parsed_documents GROUP BY 1"),
-    "targets_report": (targets_report, "SELECT parser_used, round(avg(coalesce(quality.overall_score, 0.0)), 6) >= 0.85 AS quality_ok, round(avg(coalesce(ocr_confidence, 0.0)), 6) >= 0.8 AS ocr_ok FROM parsed_documents GROUP BY 1"),
     "eval_cube": (eval_cube, "SELECT event_type, (dayofweek(ts) + 1)::BIGINT AS day, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ROLLUP (1, 2)"),
 }
