@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from lexgrain.operators import providers as P
 from lexgrain.operators import retrieval as R
-from lexgrain.plans.index import _asked, _chunks, found
+from lexgrain.plans.index import BM25_SQL, _asked, _chunks, found
+from lexgrain.plans.verify import CLAIMS, claims
 from lexgrain.session import load
 
 
@@ -33,11 +34,8 @@ def semantic_chunks(spark, sf):
 
 
 def claims_alignment(spark, sf):
-    """Statements of generated answers against the answers' five best texts."""
-    asked = load(spark, sf, "queries").where("query_id % 100 = 0 and hyde_text is not null").groupBy("query_id").agg(F.max("hyde_text").alias("text"))
-    hits = R.bm25_search(_chunks(spark, sf), "id", "text", asked, "query_id", "text", 5)
-    ev = hits.join(_chunks(spark, sf), "id").select(F.col("query").alias("id"), F.col("id").alias("chunk"), "text")
-    return P.align_claims(asked.select(F.col("query_id").alias("id"), "text"), ev, P.provider("template")).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "finding", "best", "share")
+    """Statements of generated answers against the five best texts of their queries."""
+    return claims(spark, sf).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "finding", "best", "share")
 
 
 def flare_retrieval(spark, sf):
@@ -54,6 +52,6 @@ QUERIES = {
     "text_embeddings": (text_embeddings, None),
     "late_chunking": (late_chunking, None),
     "semantic_chunks": (semantic_chunks, None),
-    "claims_alignment": (claims_alignment, None),
+    "claims_alignment": (claims_alignment, "WITH " + BM25_SQL + f", {CLAIMS} SELECT query_id AS id, claim_no, CASE WHEN share >= 0.6 THEN 'supported' WHEN share >= 0.3 THEN 'partial' ELSE 'unsupported' END AS finding, best, share FROM claims"),
     "flare_retrieval": (flare_retrieval, None),
 }

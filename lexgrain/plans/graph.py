@@ -94,7 +94,7 @@ def _all_edges(spark, sf):
     return found.select("e.*").where("from_key is not null and to_key is not null").distinct()
 
 
-def _edges(spark, sf, *kinds):
+def edges_of(spark, sf, *kinds):
     e = _all_edges(spark, sf)
     return e.where(F.col("kind").isin(*kinds)) if kinds else e
 
@@ -114,12 +114,12 @@ def _nodes(spark, sf):
 
 
 def kg_edges(spark, sf):
-    return _edges(spark, sf)
+    return edges_of(spark, sf)
 
 
 def edges_resolved(spark, sf):
     """Of each kind of edge how many there are and how many have both ends."""
-    e = _edges(spark, sf)
+    e = edges_of(spark, sf)
     whole = G.resolve_edges(e, _nodes(spark, sf)).groupBy("kind").agg(F.count(F.lit(1)).alias("resolved"))
     return e.groupBy("kind").agg(F.count(F.lit(1)).alias("edges")).join(whole, "kind", "left").select("kind", "edges", F.coalesce("resolved", F.lit(0)).alias("resolved"))
 
@@ -127,7 +127,7 @@ def edges_resolved(spark, sf):
 def citation_traversal(spark, sf):
     """Judgments that cite or interpret each section (latest first in ``place``); one
     that does both appears once for each."""
-    e = _edges(spark, sf, "CITES_SECTION", "INTERPRETS").select("kind", F.col("to_key").alias("section"), F.col("from_key").alias("cite"))
+    e = edges_of(spark, sf, "CITES_SECTION", "INTERPRETS").select("kind", F.col("to_key").alias("section"), F.col("from_key").alias("cite"))
     e = G.ends(e, kg_sections(spark, sf).select(F.concat_ws("|", "act", "number").alias("section")), "section")
     j = kg_judgments(spark, sf).select("cite", "citation", "court", "date_decided")
     w = W.partitionBy("section", "kind").orderBy(F.desc_nulls_last("date_decided"), "cite")
@@ -155,39 +155,39 @@ def point_in_time(spark, sf):
 
 def amendment_cascade(spark, sf):
     """What each amending act touched, by kind of edge."""
-    e = _edges(spark, sf, "AMENDS", "INSERTS", "OMITS").select(F.substring_index("from_key", "|", 1).alias("act"), "kind", "to_key").distinct()
+    e = edges_of(spark, sf, "AMENDS", "INSERTS", "OMITS").select(F.substring_index("from_key", "|", 1).alias("act"), "kind", "to_key").distinct()
     return e.groupBy("act", "kind").agg(F.count(F.lit(1)).alias("sections"), F.array_join(F.array_sort(F.collect_set("to_key")), ";").alias("keys"))
 
 
 def temporal_status(spark, sf):
     """Force of each section, status of its act, and its amending acts."""
     s, a = kg_sections(spark, sf), kg_acts(spark, sf)
-    am = _edges(spark, sf, "AMENDS", "INSERTS", "OMITS").groupBy("to_key").agg(F.array_join(F.array_sort(F.collect_set(F.substring_index("from_key", "|", 1))), ";").alias("amendments"))
+    am = edges_of(spark, sf, "AMENDS", "INSERTS", "OMITS").groupBy("to_key").agg(F.array_join(F.array_sort(F.collect_set(F.substring_index("from_key", "|", 1))), ";").alias("amendments"))
     j = s.withColumn("to_key", F.concat("act", F.lit("|"), "number")).join(a.select("act", "status"), "act", "left").join(am, "to_key", "left")
     return j.select("act", "number", "is_in_force", "status", F.coalesce("amendments", F.lit("")).alias("amendments"))
 
 
 def judgment_relationships(spark, sf):
-    n = G.neighbours(_edges(spark, sf), "judgment")
+    n = G.neighbours(edges_of(spark, sf), "judgment")
     return n.select("key", "relation", F.array_join("others", ";").alias("others"))
 
 
 def find_replacement(spark, sf):
     """By the REPLACES edges: what replaces each section of a replaced act."""
-    r = _edges(spark, sf, "REPLACES").select(F.col("to_key").alias("act"), F.col("from_key").alias("by_act"))
+    r = edges_of(spark, sf, "REPLACES").select(F.col("to_key").alias("act"), F.col("from_key").alias("by_act"))
     return r.join(kg_sections(spark, sf), "act", "left").select("act", "number", "by_act", F.col("replaced_by").alias("by_section"))
 
 
 def node_exists(spark, sf):
     """Cited sections and cases that are nodes, and that aren't."""
-    c = _edges(spark, sf, "CITES_CASE", "CITES_SECTION", "REFERENCES").select(F.col("to_label").alias("label"), F.col("to_key").alias("key")).distinct()
+    c = edges_of(spark, sf, "CITES_CASE", "CITES_SECTION", "REFERENCES").select(F.col("to_label").alias("label"), F.col("to_key").alias("key")).distinct()
     n = _nodes(spark, sf).where("label in ('judgment', 'section')").distinct().withColumn("known", F.lit(True))
     return c.join(n, ["label", "key"], "left").select("label", "key", F.coalesce("known", F.lit(False)).alias("known"))
 
 
 def integrity_missing_version(spark, sf):
     """Sections without any version."""
-    v = _edges(spark, sf, "HAS_VERSION").select(F.col("from_key").alias("key"))
+    v = edges_of(spark, sf, "HAS_VERSION").select(F.col("from_key").alias("key"))
     s = kg_sections(spark, sf).select("act", "number", F.concat_ws("|", "act", "number").alias("key"))
     return s.join(v, "key", "left_anti").select("act", "number")
 
@@ -198,7 +198,7 @@ def integrity_repealed(spark, sf):
 
 
 def integrity_hierarchy(spark, sf):
-    return G.lower_overrules(_edges(spark, sf, "OVERRULES"), kg_judgments(spark, sf).select(F.col("cite").alias("key"), "court_level"))
+    return G.lower_overrules(edges_of(spark, sf, "OVERRULES"), kg_judgments(spark, sf).select(F.col("cite").alias("key"), "court_level"))
 
 
 def integrity_overlap(spark, sf):
@@ -207,7 +207,7 @@ def integrity_overlap(spark, sf):
 
 def recursive_hops(spark, sf):
     """How many sections lie within three references of each section."""
-    e = _edges(spark, sf, "REFERENCES").select(F.col("from_key").alias("src"), F.col("to_key").alias("dst"))
+    e = edges_of(spark, sf, "REFERENCES").select(F.col("from_key").alias("src"), F.col("to_key").alias("dst"))
     start = e.select(F.col("src").alias("node")).distinct()
     return G.hops(e, start, 3).groupBy("origin").agg(F.count(F.lit(1)).alias("reached"), F.max("distance").cast("bigint").alias("far"))
 

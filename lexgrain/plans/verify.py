@@ -3,10 +3,14 @@
 from pyspark.sql import functions as F
 
 from lexgrain.functions import legal as L
+from lexgrain.functions.names import act_key, act_sql, citation_key, citation_sql
+from lexgrain.operators import providers as P
 from lexgrain.operators import retrieval as R
 from lexgrain.operators import verification as V
+from lexgrain.plans import graph as GP
+from lexgrain.plans.graph import edges_of, kg_acts, kg_judgments, kg_sections
 from lexgrain.plans.index import BM25_SQL, _asked, _chunks, found
-from lexgrain.session import load
+from lexgrain.session import cut, load
 
 TODAY = "2025-06-30"
 
@@ -53,33 +57,69 @@ def citation_spans(spark, sf):
     return s.groupBy("id", "family").agg(F.count(F.lit(1)).alias("n"), F.min("start").cast("bigint").alias("first"))
 
 
-def _known(spark, sf):
+def _case_nodes(spark, sf):
+    """Keys of all known judgments: of the graph and of the register."""
     j = load(spark, sf, "judgments")
-    return j.select("citation").unionByName(j.select(F.explode("alt_citations").alias("citation")))
+    typed = j.select("citation").unionByName(j.select(F.explode("alt_citations").alias("citation")))
+    return typed.select(citation_key(F.col("citation")).alias("key")).unionByName(kg_judgments(spark, sf).select(F.col("cite").alias("key"))).where("key is not null").distinct()
+
+
+def _section_nodes(spark, sf):
+    return kg_sections(spark, sf).select(F.concat_ws("|", "act", "number").alias("key"))
 
 
 def _cited(spark, sf):
+    """(doc_id, family, citation, key) of the documents, each once a document. The key
+    is the graph's: a case's citation, a section with its act, an article with the
+    constitution; bare sections, notices and circulars have none."""
     d = load(spark, sf, "documents").where("text is not null")
-    return d.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("(" + L.FAMILIES["scc"] + ")"), F.lit(1)))).alias("citation"))
+    every = lambda p, i=1: F.regexp_extract_all("text", F.lit(p if i else f"({p})"), F.lit(i or 1))
+    of = lambda family, found, key: F.transform(found, lambda x: F.struct(F.lit(family).alias("family"), x.alias("citation"), key(x).alias("key")))
+    null = F.lit(None).cast("string")
+    named = F.arrays_zip(F.regexp_extract_all("text", F.lit(f"({L.SECTION_OF_ACT})"), F.lit(1)).alias("c"), every(L.SECTION_OF_ACT, 1).alias("n"), every(L.SECTION_OF_ACT, 2).alias("a"))
+    sections = F.transform(named, lambda x: F.struct(F.lit("section").alias("family"), x["c"].alias("citation"), F.concat(act_key(x["a"]), F.lit("|"), x["n"]).alias("key")))
+    article = lambda x: F.concat(F.lit("constitution of india|"), F.regexp_extract(x, "(\\d+[A-Za-z]*)$", 1))
+    cases = [of(k, every(L.FAMILIES[k], 0), citation_key) for k in ("air", "scc", "scc_online")]
+    others = [of(k, every(L.FAMILIES[k], 0), lambda x: null) for k in ("gazette", "circular")]
+    e = F.concat(*cases, sections, of("article", every(L.FAMILIES["article"], 0), article), *others)
+    return d.select("doc_id", F.explode(e).alias("e")).select("doc_id", "e.family", "e.citation", "e.key").distinct()
+
+
+def _verified(spark, sf):
+    return V.verify_citations(_cited(spark, sf), _case_nodes(spark, sf).unionByName(_section_nodes(spark, sf)))
 
 
 def citation_verify(spark, sf):
-    return V.verify_citations(_cited(spark, sf), _known(spark, sf), "citation")
+    """Each citation verified, not found, or of a kind that the graph doesn't hold."""
+    return _verified(spark, sf).select("doc_id", "family", "citation", "status")
 
 
 def verification_summary(spark, sf):
-    """Counters of a verification run by source."""
-    v = V.verify_citations(_cited(spark, sf), _known(spark, sf), "citation").join(load(spark, sf, "documents").select("doc_id", "source"), "doc_id")
-    g = v.groupBy("source").agg(F.count(F.lit(1)).alias("citations"), F.count_if(F.col("status") == "verified").alias("verified"))
+    """Counters of a verification run by source. ``not_found`` is all that isn't
+    verified; ``missing`` and ``kg_unavailable`` are its parts."""
+    v = _verified(spark, sf).join(load(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    n = lambda s: F.count_if(F.col("status") == s)
+    g = v.groupBy("source").agg(F.count(F.lit(1)).alias("citations"), n("verified").alias("verified"), n("not_found").alias("missing"), n("kg_unavailable").alias("kg_unavailable"))
     return g.withColumn("not_found", F.col("citations") - F.col("verified")).withColumn("rate", F.round(V.ratio(F.col("verified"), F.col("citations"), 1.0), 6))
 
 
+def _references(spark, sf):
+    """(source, ref, section, act, key, day): provisions that documents, queries (at
+    their own date) and chunks name."""
+    d = load(spark, sf, "documents").where("text is not null")
+    named = F.arrays_zip(F.regexp_extract_all("text", F.lit(L.SECTION_OF_ACT), F.lit(1)).alias("section"), F.regexp_extract_all("text", F.lit(L.SECTION_OF_ACT), F.lit(2)).alias("act"))
+    today = F.lit(TODAY).cast("date")
+    docs = d.select(F.lit("document").alias("source"), F.col("doc_id").cast("string").alias("ref"), F.explode(named).alias("r"), today.alias("day"))
+    q = _queries(spark, sf).select(F.lit("query").alias("source"), F.col("query_id").cast("string").alias("ref"), F.explode(L.section_references(F.col("text"))).alias("r"), F.coalesce(F.col("reference_date").cast("date"), today).alias("day"))
+    typed = docs.unionByName(q).select("source", "ref", "r.section", act_key(F.col("r.act")).alias("act"), "day")
+    c = edges_of(spark, sf, "REFERENCES", "CITES_SECTION").select(F.lit("chunk").alias("source"), F.col("from_key").alias("ref"), F.substring_index("to_key", "|", -1).alias("section"), F.substring_index("to_key", "|", 1).alias("act"), today.alias("day"))
+    return typed.unionByName(c).where("act is not null").distinct()
+
+
 def temporal_warnings(spark, sf):
-    """Repealed acts that a query names, at the query's own date."""
-    a = load(spark, sf, "acts").where("status = 'repealed'").groupBy(F.lower("name").alias("act")).agg(F.min("date_repealed").alias("repealed"))
-    q = _queries(spark, sf).select("query_id", "reference_date", F.explode(L.section_references(F.col("text"))).alias("r"))
-    j = q.join(a, F.lower(F.col("r.act")) == F.col("act")).where("reference_date is null or repealed is null or reference_date >= repealed")
-    return j.select("query_id", "r.section", "act")
+    """References to law that no longer holds at their date: the repealed codes first,
+    then sections out of force, then sections of repealed acts; with the replacement."""
+    return V.temporal_warnings(_references(spark, sf), kg_sections(spark, sf), kg_acts(spark, sf), edges_of(spark, sf, "REPLACES"))
 
 
 def acts_repealed_cited(spark, sf):
@@ -90,7 +130,7 @@ def acts_repealed_cited(spark, sf):
 
 
 def caveat_append(spark, sf):
-    v = V.verify_citations(_cited(spark, sf), _known(spark, sf), "citation").groupBy("doc_id").agg(F.count_if(F.col("status") == "not_found").alias("u"))
+    v = _verified(spark, sf).groupBy("doc_id").agg(F.count_if(F.col("status") == "not_found").alias("u"))
     d = load(spark, sf, "documents").where("text is not null").join(v, "doc_id", "left")
     t = V.caveat(F.col("text"), F.coalesce("u", F.lit(0)), F.lit(0))
     return d.select("doc_id", F.sha2(t, 256).alias("hash"))
@@ -104,16 +144,38 @@ def _meta(spark, sf):
     return load(spark, sf, "chunks").groupBy("id").agg(F.max("document_type").alias("kind"), F.max("judgment.court_level").alias("level"), F.max("judgment.date_decided").alias("day"))
 
 
+def claims(spark, sf, hits=None):
+    """Statements of the stated queries' generated answers against their five best
+    texts, with a finding each."""
+    asked = load(spark, sf, "queries").where("query_id % 100 = 0 and text is not null and hyde_text is not null").groupBy("query_id").agg(F.max("hyde_text").alias("text"))
+    best = (hits or _hits(spark, sf, 5)).where("rank <= 5").select("query", "id")
+    ev = best.join(_chunks(spark, sf), "id").select(F.col("query").alias("id"), F.col("id").alias("chunk"), "text")
+    return P.align_claims(asked.select(F.col("query_id").alias("id"), "text"), ev, P.provider("template"))
+
+
 def confidence_score(spark, sf):
-    """Weighted factors over the ten best hits of each stated query."""
-    h = _hits(spark, sf, 10).join(_meta(spark, sf), "id")
+    """Six weighted factors of each stated query: relevance of its ten best hits after
+    reranking, share of verified citations of its answer (1 without any), authority
+    and recency of the hits, share of supported claims (1 without any), specificity."""
+    asked = _asked(spark, sf).withColumnRenamed("query_id", "query")
+    hits = cut(_hits(spark, sf, 10))
+    h = R.overlap_rerank(hits, asked, _chunks(spark, sf), 10).select("query", "id", "score").join(_meta(spark, sf), "id")
     g = h.groupBy("query").agg(
-        F.least(F.lit(1.0), F.avg(F.when(F.col("score") > 0, F.col("score"))) / 100).alias("relevance"),
+        F.coalesce(F.least(F.lit(1.0), F.avg(F.when(F.col("score") > 0, F.col("score")))), F.lit(0.0)).alias("relevance"),
         F.avg(V.authority(F.col("kind"), F.col("level"))).alias("authority"),
         F.avg(V.recency(F.col("day"), TODAY)).alias("recency"),
         F.count(F.lit(1)).alias("n"),
     )
-    return g.select("query", "n", V.weighted({"relevance": 0.4, "authority": 0.35, "recency": 0.25}).alias("confidence"))
+    a = _queries(spark, sf).where("query_id % 100 = 0")
+    cases = F.concat(*[F.regexp_extract_all("hyde_text", F.lit(f"({L.FAMILIES[k]})"), F.lit(1)) for k in ("air", "scc", "scc_online")])
+    cited = a.select(F.col("query_id").alias("query"), F.explode(F.array_distinct(cases)).alias("citation")).withColumn("family", F.lit("case")).withColumn("key", citation_key(F.col("citation")))
+    ok = V.verify_citations(cited, _case_nodes(spark, sf)).groupBy("query").agg(F.avg((F.col("status") == "verified").cast("double")).alias("citations"))
+    cl = claims(spark, sf, hits).groupBy(F.col("id").alias("query")).agg(F.avg((F.col("finding") == "supported").cast("double")).alias("agreement"))
+    r = a.select(F.col("query_id").alias("query"), L.route(F.col("text"))["route"].alias("route"))
+    g = g.join(r, "query").join(ok, "query", "left").join(cl, "query", "left").fillna(1.0, ["citations", "agreement"])
+    g = g.withColumn("specificity", V.specificity(F.col("route"), F.col("n"))).withColumn("confidence", V.weighted(V.WEIGHTS))
+    level = F.when(F.col("confidence") < 0.3, "critical").when(F.col("confidence") < 0.6, "warning").otherwise("good")
+    return g.select("query", "n", "confidence", level.alias("level"))
 
 
 def section_completeness(spark, sf):
@@ -128,7 +190,7 @@ def citation_accuracy(spark, sf):
     """Citations of generated answers that some chunk also has."""
     a = _queries(spark, sf).where("hyde_text is not null").select("query_id", F.explode(F.array_distinct(F.regexp_extract_all("hyde_text", F.lit("(" + L.FAMILIES["scc"] + ")"), F.lit(1)))).alias("citation"))
     k = load(spark, sf, "chunks").select(F.explode("content.cases_cited").alias("k"))
-    v = V.verify_citations(a, k, "k")
+    v = V.verify_citations(a.withColumn("family", F.lit("case")).withColumn("key", F.col("citation")), k.select(F.col("k").alias("key")))
     return v.groupBy("query_id").agg(F.count(F.lit(1)).alias("citations"), F.round(F.avg((F.col("status") == "verified").cast("double")), 6).alias("accuracy"))
 
 
@@ -155,7 +217,26 @@ rt AS (SELECT query_id, q_route, CASE WHEN si IS NOT NULL THEN 'simple' WHEN an
 SREF = f"""{Q}, sr AS (SELECT query_id, reference_date, unnest(regexp_extract_all(text, '{_re(L.SECTION_OF)}', 1)) AS section, unnest(regexp_extract_all(text, '{_re(L.SECTION_OF)}', 2)) AS act0 FROM q),
 sf AS (SELECT query_id, reference_date, section, regexp_replace(trim(act0), '[?!,.;:]+$', '') AS act1 FROM sr),
 sref AS (SELECT query_id, reference_date, section, CASE lower(act1) {' '.join(f"WHEN '{a}' THEN '{_re(n)}'" for a, n in L.ACT_ALIASES.items())} ELSE act1 END AS act FROM sf)"""
-CITED = f"cited AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '{L.FAMILIES['scc']}'))) AS citation FROM documents WHERE text IS NOT NULL), known AS (SELECT citation FROM judgments UNION SELECT unnest(alt_citations) FROM judgments), kv AS (SELECT citation FROM known WHERE citation IS NOT NULL), ver AS (SELECT doc_id, citation, CASE WHEN citation IN (SELECT citation FROM kv) THEN 'verified' ELSE 'not_found' END AS status FROM cited)"
+GRAPH = ", ".join([GP.S, GP.J, GP.ACTS, GP.SECS, GP.JUDS])
+CASES_SQL = f"cases AS (SELECT {citation_sql('citation')} AS key FROM (SELECT citation FROM judgments UNION SELECT unnest(alt_citations) FROM judgments) UNION SELECT cite FROM juds)"
+KNOWN = CASES_SQL + ", known AS (SELECT key FROM cases WHERE key IS NOT NULL UNION SELECT act || '|' || number FROM secs)"
+_ONE = lambda k, key: f"SELECT doc_id, '{k}' AS family, citation, {key} AS key FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{L.FAMILIES[k]}')) AS citation FROM documents)"
+CITED = f"""cited AS ({' UNION '.join(_ONE(k, citation_sql('citation')) for k in ('air', 'scc', 'scc_online'))} UNION {_ONE('article', "'constitution of india|' || regexp_extract(citation, '(\\d+[A-Za-z]*)$', 1)")} UNION {_ONE('gazette', 'NULL')} UNION {_ONE('circular', 'NULL')}
+ UNION SELECT doc_id, 'section', c, {act_sql('a')} || '|' || n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{L.SECTION_OF_ACT}')) AS c, unnest(regexp_extract_all(text, '{L.SECTION_OF_ACT}', 1)) AS n, unnest(regexp_extract_all(text, '{L.SECTION_OF_ACT}', 2)) AS a FROM documents)),
+{KNOWN}, ver AS (SELECT doc_id, family, citation, CASE WHEN family IN ('gazette', 'circular') THEN 'kg_unavailable' WHEN key IN (SELECT key FROM known) THEN 'verified' ELSE 'not_found' END AS status FROM cited)"""
+_CODES = ", ".join(f"('{k.lower()}', '{v.lower()}')" for k, v in L.REPLACED_CODES.items())
+TEMPORAL = f"""refs AS (SELECT DISTINCT * FROM (SELECT 'document' AS source, doc_id::VARCHAR AS ref, n AS section, {act_sql('a')} AS act, DATE '{TODAY}' AS day FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{L.SECTION_OF_ACT}', 1)) AS n, unnest(regexp_extract_all(text, '{L.SECTION_OF_ACT}', 2)) AS a FROM documents)
+ UNION ALL SELECT 'query', query_id::VARCHAR, section, {act_sql('act')}, coalesce(reference_date::DATE, DATE '{TODAY}') FROM sref
+ UNION ALL SELECT 'chunk', from_key, split_part(to_key, '|', 2), split_part(to_key, '|', 1), DATE '{TODAY}' FROM e WHERE kind IN ('REFERENCES', 'CITES_SECTION')) WHERE act IS NOT NULL),
+codes AS (SELECT * FROM (VALUES {_CODES}) v(act, by_act)), rep AS (SELECT to_key AS act, min(from_key) AS by_act FROM e WHERE kind = 'REPLACES' GROUP BY 1),
+w AS (SELECT source, ref, refs.section, refs.act, CASE WHEN codes.act IS NOT NULL AND day >= DATE '{L.REPEAL_DAY}' THEN 'code repealed' WHEN secs.act IS NOT NULL AND NOT is_in_force THEN 'not in force' WHEN secs.act IS NOT NULL AND status = 'repealed' THEN 'act repealed' END AS reason,
+ coalesce(codes.by_act, rep.by_act) AS by_act, replaced_by AS by_section FROM refs LEFT JOIN codes USING (act) LEFT JOIN secs ON secs.act = refs.act AND secs.number = refs.section LEFT JOIN acts_n ON acts_n.act = refs.act LEFT JOIN rep ON rep.act = refs.act)"""
+TOKENS_OF = lambda x: f"regexp_extract_all(lower({x}), '[a-z0-9]+')"
+CLAIMS = f"""an AS (SELECT query_id, max(hyde_text) AS text FROM queries WHERE query_id % 100 = 0 AND text IS NOT NULL AND hyde_text IS NOT NULL GROUP BY 1),
+cl0 AS (SELECT query_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]\\s+'), lambda x: trim(x)), lambda x: x <> '')[1:50] AS a FROM an), cl1 AS (SELECT query_id, unnest(a) AS claim, generate_subscripts(a, 1) - 1 AS claim_no FROM cl0),
+ev AS (SELECT bm.query AS query_id, c.id AS chunk, {TOKENS_OF('c.text')} AS t FROM bm JOIN c USING (id) WHERE rank <= 5),
+cl2 AS (SELECT query_id, claim_no, claim, chunk, CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: list_contains(coalesce(t, []), x)))::DOUBLE / len(w) ELSE 0.0 END::DOUBLE AS share FROM (SELECT *, list_distinct({TOKENS_OF('claim')}) AS w FROM cl1) LEFT JOIN ev USING (query_id)),
+claims AS (SELECT query_id, claim_no, round(max(share), 6) AS share, first(chunk ORDER BY share DESC, chunk DESC NULLS LAST) AS best FROM cl2 GROUP BY 1, 2)"""
 
 QUERIES = {
     "query_router": (query_router, f"WITH {ROUTE} SELECT query_id, route, confidence, signals FROM rt"),
@@ -165,15 +246,22 @@ QUERIES = {
     "routing_accuracy": (routing_accuracy, f"WITH {ROUTE} SELECT q_route AS route, count(*) AS queries, round(avg((q_route = route)::INT), 6) AS accuracy FROM rt GROUP BY 1"),
     "citation_families": (citation_families, "SELECT doc_id, " + ", ".join(f"len(regexp_extract_all(text, '{L.FAMILIES[k]}')) AS {k}" for k in ("air", "scc", "scc_online", "gazette", "section")) + " FROM documents WHERE text IS NOT NULL"),
     "citation_spans": (citation_spans, None),
-    "citation_verify": (citation_verify, f"WITH {CITED} SELECT * FROM ver"),
-    "verification_summary": (verification_summary, f"WITH {CITED} SELECT source, count(*) AS citations, count(*) FILTER (status = 'verified') AS verified, count(*) FILTER (status <> 'verified') AS not_found, round(count(*) FILTER (status = 'verified') * 1.0 / count(*), 6)::DOUBLE AS rate FROM ver JOIN documents USING (doc_id) GROUP BY 1"),
-    "temporal_warnings": (temporal_warnings, f"WITH {SREF}, a AS (SELECT lower(name) AS act, min(date_repealed) AS repealed FROM acts WHERE status = 'repealed' GROUP BY 1) SELECT query_id, section, a.act FROM sref JOIN a ON lower(sref.act) = a.act WHERE reference_date IS NULL OR repealed IS NULL OR reference_date >= repealed"),
+    "citation_verify": (citation_verify, f"WITH {GRAPH}, {CITED} SELECT * FROM ver"),
+    "verification_summary": (verification_summary, f"WITH {GRAPH}, {CITED} SELECT source, count(*) AS citations, count(*) FILTER (status = 'verified') AS verified, count(*) FILTER (status = 'not_found') AS missing, count(*) FILTER (status = 'kg_unavailable') AS kg_unavailable, count(*) FILTER (status <> 'verified') AS not_found, round(count(*) FILTER (status = 'verified') * 1.0 / count(*), 6)::DOUBLE AS rate FROM ver JOIN documents USING (doc_id) GROUP BY 1"),
+    "temporal_warnings": (temporal_warnings, f"{GP.ALL}, {SREF}, {TEMPORAL} SELECT * FROM w WHERE reason IS NOT NULL"),
     "acts_repealed_cited": (acts_repealed_cited, "WITH c AS (SELECT unnest(content.acts_cited) AS act FROM chunks), a AS (SELECT name AS act, max(status) AS status FROM acts GROUP BY 1) SELECT act, count(*) AS n, any_value(status) AS status FROM c LEFT JOIN a USING (act) WHERE act IS NOT NULL GROUP BY 1"),
-    "caveat_append": (caveat_append, f"WITH {CITED}, u AS (SELECT doc_id, count(*) FILTER (status = 'not_found') AS u FROM ver GROUP BY 1) SELECT doc_id, sha256(CASE WHEN coalesce(u, 0) > 0 THEN text || chr(10) || chr(10) || 'Note: ' || u || ' unsupported, 0 partly supported.' ELSE text END) AS hash FROM documents LEFT JOIN u USING (doc_id) WHERE text IS NOT NULL"),
-    "confidence_score": (confidence_score, "WITH " + BM25_SQL + f""", m AS (SELECT id, max(document_type) AS kind, max(judgment.court_level) AS level, max(judgment.date_decided) AS day FROM chunks GROUP BY 1),
-h AS (SELECT bm.query, score, CASE WHEN kind = 'statute' THEN 0.8 WHEN level = 1 THEN 1.0 WHEN level = 2 THEN 0.7 WHEN level = 3 THEN 0.4 WHEN level = 4 THEN 0.2 ELSE 0.1 END::DOUBLE AS au,
- CASE WHEN day IS NULL THEN 0.5 WHEN DATE '{TODAY}' - day <= 0 THEN 1.0 WHEN DATE '{TODAY}' - day < 365 THEN 0.9 WHEN DATE '{TODAY}' - day < 730 THEN 0.7 WHEN DATE '{TODAY}' - day < 1825 THEN 0.5 ELSE 0.3 END::DOUBLE AS re FROM bm JOIN m USING (id) WHERE rank <= 10)
-SELECT query, count(*) AS n, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, least(1.0::DOUBLE, avg(score) / 100) * 0.4::DOUBLE + avg(au) * 0.35::DOUBLE + avg(re) * 0.25::DOUBLE)), 4) AS confidence FROM h GROUP BY 1"""),
+    "caveat_append": (caveat_append, f"WITH {GRAPH}, {CITED}, u AS (SELECT doc_id, count(*) FILTER (status = 'not_found') AS u FROM ver GROUP BY 1) SELECT doc_id, sha256(CASE WHEN coalesce(u, 0) > 0 THEN text || chr(10) || chr(10) || 'Note: ' || u || ' unsupported, 0 partly supported.' ELSE text END) AS hash FROM documents LEFT JOIN u USING (doc_id) WHERE text IS NOT NULL"),
+    "confidence_score": (confidence_score, f"WITH {GRAPH}, {ROUTE.replace('q AS (', 'qr AS (', 1).replace('FROM q)', 'FROM qr)')}, " + BM25_SQL + f""", {CASES_SQL}, {CLAIMS}, m AS (SELECT id, max(document_type) AS kind, max(judgment.court_level) AS level, max(judgment.date_decided) AS day FROM chunks GROUP BY 1),
+rr AS (SELECT bm.query, bm.id, round(len(list_filter(list_distinct({TOKENS_OF('qtext')}), lambda x: list_contains({TOKENS_OF('c.text')}, x))) * 1.0::DOUBLE / len(list_distinct({TOKENS_OF('qtext')})), 6) AS score FROM bm JOIN q ON q.query_id = bm.query JOIN c USING (id) WHERE bm.rank <= 10),
+h AS (SELECT rr.query, score, CASE WHEN kind = 'statute' THEN 0.8 WHEN level = 1 THEN 1.0 WHEN level = 2 THEN 0.7 WHEN level = 3 THEN 0.4 WHEN level = 4 THEN 0.2 ELSE 0.1 END::DOUBLE AS au,
+ CASE WHEN day IS NULL THEN 0.5 WHEN DATE '{TODAY}' - day <= 0 THEN 1.0 WHEN DATE '{TODAY}' - day < 365 THEN 0.9 WHEN DATE '{TODAY}' - day < 730 THEN 0.7 WHEN DATE '{TODAY}' - day < 1825 THEN 0.5 ELSE 0.3 END::DOUBLE AS re FROM rr JOIN m USING (id)),
+g AS (SELECT query, count(*) AS n, coalesce(least(1.0::DOUBLE, avg(score) FILTER (score > 0)), 0.0::DOUBLE) AS relevance, avg(au) AS authority, avg(re) AS recency FROM h GROUP BY 1),
+ct AS (SELECT query_id, unnest(list_distinct(list_concat(regexp_extract_all(hyde_text, '{L.FAMILIES['air']}'), regexp_extract_all(hyde_text, '{L.FAMILIES['scc']}'), regexp_extract_all(hyde_text, '{L.FAMILIES['scc_online']}')))) AS citation FROM qr WHERE query_id % 100 = 0),
+ok AS (SELECT query_id AS query, avg((coalesce({citation_sql('citation')}, '') IN (SELECT key FROM cases WHERE key IS NOT NULL))::INT) AS citations FROM ct GROUP BY 1), ag AS (SELECT query_id AS query, avg((share >= 0.6)::INT) AS agreement FROM claims GROUP BY 1),
+z AS (SELECT g.query, n, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, relevance * 0.25::DOUBLE + coalesce(citations, 1.0::DOUBLE) * 0.2::DOUBLE + authority * 0.2::DOUBLE + coalesce(agreement, 1.0::DOUBLE) * 0.15::DOUBLE + recency * 0.1::DOUBLE
+ + (CASE WHEN n <= 3 THEN least(1.0::DOUBLE, b + 0.2::DOUBLE) WHEN n <= 10 THEN b ELSE greatest(0.1::DOUBLE, b - 0.2::DOUBLE) END) * 0.1::DOUBLE)), 4) AS confidence
+ FROM (SELECT g.*, citations, agreement, CASE route WHEN 'simple' THEN 0.9 WHEN 'standard' THEN 0.7 WHEN 'complex' THEN 0.5 WHEN 'analytical' THEN 0.3 ELSE 0.5 END::DOUBLE AS b FROM g JOIN rt ON rt.query_id = g.query LEFT JOIN ok ON ok.query = g.query LEFT JOIN ag ON ag.query = g.query) g)
+SELECT query, n, confidence, CASE WHEN confidence < 0.3 THEN 'critical' WHEN confidence < 0.6 THEN 'warning' ELSE 'good' END AS level FROM z"""),
     "section_completeness": (section_completeness, "WITH " + BM25_SQL + r""", h AS (SELECT query, lower(string_agg(c.text, ' ')) AS t FROM bm JOIN c USING (id) WHERE rank <= 5 GROUP BY 1),
 w AS (SELECT query_id AS query, list_distinct(regexp_extract_all(qtext, 'section ([0-9]+[A-Z]?)', 1)) AS want FROM q),
 f AS (SELECT query, want, len(list_filter(want, lambda x: regexp_matches(coalesce(t, ''), '\b' || lower(x) || '\b'))) AS found FROM w LEFT JOIN h USING (query))
