@@ -90,7 +90,7 @@ def pieces(text: str, limit: int = 1500, overlap: int = 150, block: int = 4) ->
         j, best = k, None
         while j < len(cuts) and cuts[j] <= hi:
             # among equal valleys the later one; an end of paragraph counts as a little deeper
-            d = depth[cuts[j]] + (0.1 if text[: cuts[j]].endswith("\n") else 0)
+            d = depth[cuts[j]] + (0.1 if text[cuts[j] - 1] == "\n" else 0)
             if best is None or d >= best[0]:
                 best = (d, cuts[j])
             j += 1

@@ -58,3 +58,9 @@ def test_digits_within_words(spark):
     edits = [r.asDict() for r in S.traces(*tables(spark, rows)).where("kind = 'misread'").collect()]
     assert {(r["id"], r["a"], r["b"]) for r in edits} == {("g", "sha1l", "shall"), ("g", "0rder", "order")}
     assert S.repair("The registrar SHA1L hear, and the 0rder is valid.", edits) == "The registrar SHALL hear, and the order is valid."
+
+
+def test_both_ways_of_picking_misread_words_agree(spark):
+    rows = [*corpus(), ("a", "d", PAGE, [12]), ("g", "d", "The registrar sha1l hear, and the 0rder is valid.", None)]
+    a, b = (sorted(tuple(r) for r in S.traces(*tables(spark, rows), broadcast_rows=n).collect()) for n in (500_000, 0))
+    assert a == b and any(x[1] == "misread" for x in a)
