@@ -197,6 +197,41 @@ def semantic_chunks(docs: DataFrame, make: Callable[[], Embedder], most: int = 6
     return src.mapInPandas(run, f"id {dict(src.dtypes)['id']}, piece int, text string")
 
 
+def maxmin_pieces(text: str, embedder: Embedder, most: int = 6000, least: int = 200, share: float = 25) -> list[str]:
+    """Groups of sentences between the places where neighbours are less alike than the
+    ``share`` percentile of all neighbours; a group shorter than ``least`` characters
+    joins the one before where both fit, one longer than ``most`` is cut."""
+    s = [x.strip() for x in re.split(r"(?<=[.!?])\s+", text) if x.strip()]
+    if not s:
+        return []
+    v = embedder.embed(s)
+    alike = (v[:-1] * v[1:]).sum(1)
+    low = np.percentile(alike, share) if len(alike) else 0.0
+    groups = [[s[0]]]
+    for x, a in zip(s[1:], alike):
+        groups.append([x]) if a < low else groups[-1].append(x)
+    out: list[str] = []
+    for g in (" ".join(g) for g in groups):
+        if out and len(g) < least and len(out[-1]) + 1 + len(g) <= most:
+            out[-1] += " " + g
+        else:
+            out.append(g)
+    return [p[i : i + most] for p in out for i in range(0, len(p), most)]
+
+
+def maxmin_chunks(docs: DataFrame, make: Callable[[], Embedder], most: int = 6000, least: int = 200) -> DataFrame:
+    """(id, piece, text) by :func:`maxmin_pieces`; blank texts have none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        e = make()
+        for b in batches:
+            rows = [(i, k, p) for i, t in zip(b["id"], b["text"]) if t and t.strip() for k, p in enumerate(maxmin_pieces(t, e, most, least))]
+            yield pd.DataFrame(rows, columns=["id", "piece", "text"])
+
+    src = docs.select("id", "text")
+    return src.mapInPandas(run, f"id {dict(src.dtypes)['id']}, piece int, text string")
+
+
 def align_claims(answers: DataFrame, evidence: DataFrame, make: Callable[[], Completer], supported: float = 0.6, partly: float = 0.3) -> DataFrame:
     """(id, claim_no, claim, finding, best): statements of an answer against the
     evidence texts of the same id; the share of a statement's words that the best

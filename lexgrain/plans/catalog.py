@@ -1,8 +1,8 @@
 """All queries of the core: name -> (function, oracle SQL or None)."""
 
-from lexgrain.plans import corpus, enrich, evaluation, flows, graph, index, intervals, streams, verify
+from lexgrain.plans import chunking, corpus, enrich, evaluation, flows, graph, index, intervals, streams, verify
 
-MODULES = [corpus, enrich, flows, graph, index, intervals, streams, verify, evaluation]
+MODULES = [corpus, chunking, enrich, flows, graph, index, intervals, streams, verify, evaluation]
 
 
 def all_queries() -> dict[str, tuple]:

@@ -211,26 +211,9 @@ def child_numbering(spark, sf):
     return s.select("document_id", F.col("ord").cast("bigint").alias("ord"), F.concat_ws("_", "level", F.row_number().over(w)).alias("label"))
 
 
-def statute_chunks(spark, sf):
-    """One chunk per section with all below it; beyond 1,500 tokens one for the
-    section's own text and one per group of children."""
-    s = _sections(spark, sf)
-    own = s.where("level = 'section'").select("document_id", "ord", F.coalesce(F.length("text"), F.lit(0)).alias("own"))
-    whole = K.subtree(s, "document_id", "section").join(own, ["document_id", "ord"])
-    kids = s.where("parent_ord is not null").select("document_id", F.col("parent_ord").alias("p"), "ord", "level", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-    w = W.partitionBy("document_id", "p").orderBy("ord")
-    kids = kids.withColumn("first", F.row_number().over(w) == 1).withColumn("grp", F.sum(F.when(F.col("level").isin("proviso", "explanation") & ~F.col("first"), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    groups = kids.groupBy("document_id", "p", "grp").agg(F.sum("chars").alias("chars"))
-    small = whole.where("chars div 4 <= 1500").select("document_id", F.col("ord").alias("section"), F.lit(0).alias("piece"), F.col("chars"))
-    big = whole.where("chars div 4 > 1500")
-    parts = big.select("document_id", F.col("ord").alias("section"), F.lit(0).alias("piece"), F.col("own").alias("chars")).unionByName(
-        groups.join(big.select("document_id", F.col("ord").alias("p")), ["document_id", "p"]).select("document_id", F.col("p").alias("section"), F.col("grp").cast("int").alias("piece"), "chars"))
-    return small.unionByName(parts).select("document_id", F.col("section").cast("bigint").alias("section"), F.col("piece").cast("bigint").alias("piece"), F.col("chars").cast("bigint").alias("chars"))
-
-
 def statute_pieces(spark, sf):
-    """As statute_chunks, but a group has all that is below its children, and what
-    is still beyond 1,500 tokens is cut at the limit: no part exceeds it."""
+    """Sections with all below them without headers; beyond 1,500 tokens by groups of
+    children, and what is still beyond is cut at the limit: no part exceeds it."""
     s = _sections(spark, sf)
     a = s.where("level = 'section'").select("document_id", F.col("ord").alias("section"), F.col("last_desc").alias("last"))
     j = a.join(s.select("document_id", "ord", "parent_ord", "level", F.coalesce("text", F.lit("")).alias("t")), "document_id").where("ord between section and last")
@@ -384,11 +367,6 @@ SELECT id, array_to_string(list_concat(coalesce(list(id) OVER (PARTITION BY d OR
     "proviso_groups": (proviso_groups, "WITH " + SECT + ", o AS (SELECT document_id, ord, CASE WHEN level IN ('proviso', 'explanation') AND row_number() OVER (PARTITION BY document_id ORDER BY ord) > 1 THEN 0 ELSE 1 END AS o FROM s) SELECT document_id, ord::BIGINT AS ord, sum(o) OVER (PARTITION BY document_id ORDER BY ord ROWS UNBOUNDED PRECEDING)::BIGINT AS grp FROM o"),
     "section_subtrees": (section_subtrees, "WITH " + SECT + " SELECT a.document_id, a.ord::BIGINT AS ord, count(*) AS parts, sum(coalesce(length(b.text), 0))::BIGINT AS chars FROM s a JOIN s b ON a.document_id = b.document_id AND b.ord BETWEEN a.ord AND a.last_desc WHERE a.level = 'section' GROUP BY 1, 2"),
     "child_numbering": (child_numbering, "WITH " + SECT + " SELECT document_id, ord::BIGINT AS ord, concat_ws('_', level, row_number() OVER (PARTITION BY document_id, parent_ord, level ORDER BY ord)) AS label FROM s WHERE parent_ord IS NOT NULL"),
-    "statute_chunks": (statute_chunks, "WITH " + SECT + """, t AS (SELECT a.document_id, a.ord, any_value(coalesce(length(a.text), 0)) AS own, sum(coalesce(length(b.text), 0)) AS chars FROM s a JOIN s b ON a.document_id = b.document_id AND b.ord BETWEEN a.ord AND a.last_desc WHERE a.level = 'section' GROUP BY 1, 2),
-k AS (SELECT document_id, parent_ord AS p, ord, coalesce(length(text), 0) AS chars, CASE WHEN level IN ('proviso','explanation') AND row_number() OVER (PARTITION BY document_id, parent_ord ORDER BY ord) > 1 THEN 0 ELSE 1 END AS o FROM s WHERE parent_ord IS NOT NULL),
-g AS (SELECT document_id, p, grp, sum(chars) AS chars FROM (SELECT *, sum(o) OVER (PARTITION BY document_id, p ORDER BY ord ROWS UNBOUNDED PRECEDING) AS grp FROM k) GROUP BY 1, 2, 3)
-SELECT document_id, ord::BIGINT AS section, 0::BIGINT AS piece, chars::BIGINT AS chars FROM t WHERE chars // 4 <= 1500 UNION ALL SELECT document_id, ord::BIGINT, 0, own::BIGINT FROM t WHERE chars // 4 > 1500
-UNION ALL SELECT g.document_id, g.p::BIGINT, g.grp::BIGINT, g.chars::BIGINT FROM g JOIN t ON g.document_id = t.document_id AND g.p = t.ord WHERE t.chars // 4 > 1500"""),
     "statute_pieces": (statute_pieces, None),
     "judgment_headers": (judgment_headers, "WITH " + SECT + ", h AS (SELECT document_id, arg_min(section_id, ord) AS header FROM s WHERE level = 'header' GROUP BY 1) SELECT document_id, ord::BIGINT AS ord, header FROM s JOIN h USING (document_id) WHERE section_id <> header"),
     "page_level_chunks": (page_level_chunks, r"""WITH d AS (SELECT doc_id, CASE WHEN contains(text, chr(12)) THEN list_filter(string_split(text, chr(12)), lambda x: trim(regexp_replace(x, '[\r\n\t]', '', 'g')) <> '') ELSE list_transform(range(0, (length(text) + 5999) // 6000), lambda i: substr(text, i * 6000 + 1, 6000)) END AS p FROM documents WHERE text IS NOT NULL AND text <> '')

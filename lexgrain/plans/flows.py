@@ -80,15 +80,6 @@ def document_spans(spark, sf):
     return g.select(F.col("id").alias("doc_id"), F.col("section").cast("bigint").alias("section"), "heading", "lines", F.col("chars").cast("bigint").alias("chars"))
 
 
-def judgment_chunks(spark, sf):
-    """Parts of judgments: a holding whole, others packed by paragraphs into
-    6,000 characters."""
-    s = load(spark, sf, "sections").dropDuplicates(["document_id", "ord"]).where("level in ('facts', 'issues', 'reasoning', 'holding', 'order', 'dissent', 'obiter') and text is not null and text <> ''")
-    pieces = F.when(F.col("level") == "holding", F.array("text")).otherwise(K.pack_paragraphs(F.col("text"), 6000))
-    p = s.select("document_id", "ord", "level", F.posexplode(pieces).alias("piece", "t"))
-    return p.select("document_id", F.col("ord").cast("bigint").alias("ord"), "level", F.col("piece").cast("bigint").alias("piece"), F.length("t").cast("bigint").alias("chars"))
-
-
 def proposition_chunks(spark, sf):
     """Definitions as single statements, by the provider."""
     d = load(spark, sf, "sections").where("level = 'definition' and text is not null").select("section_id", "text").distinct()
@@ -142,7 +133,6 @@ SELECT query_id, route, concat_ws(',', CASE WHEN route <> 'simple' AND vec THEN
     "document_spans": (document_spans, r"""WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\n|\r|\f') AS a FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS pos FROM l),
 h AS (SELECT *, regexp_matches(line, '^(THE [A-Z ]{8,}.*|[A-Z][A-Z ]{6,}|[0-9]+\. [A-Z].{0,60})$') AS h FROM e), s AS (SELECT *, sum(CASE WHEN h THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS section FROM h)
 SELECT doc_id, section, max(CASE WHEN h THEN trim(line) END) AS heading, count(*) AS lines, sum(length(line))::BIGINT AS chars FROM s GROUP BY 1, 2"""),
-    "judgment_chunks": (judgment_chunks, None),
     "proposition_chunks": (proposition_chunks, None),
     "version_ids": (version_ids, "SELECT DISTINCT version_id, concat_ws(':', act_id::VARCHAR, section_number, substr(text_hash, 1, 8)) AS wanted FROM section_versions WHERE version_id <> concat_ws(':', act_id::VARCHAR, section_number, substr(text_hash, 1, 8))"),
     "graph_search": (graph_search, None),
