@@ -34,11 +34,12 @@ def skip_existing(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key).distinct(), key, "left_anti")
 
 
-def first_seen(df: DataFrame, url: str, order: str, cap: int) -> DataFrame:
-    """Addresses without a trailing slash, each at its first place, at most
-    ``cap`` (the limit of documents a source may give)."""
-    u = df.select(F.regexp_replace(F.col(url), "/+$", "").alias("url"), F.col(order).alias("seq")).where("url is not null")
-    return u.groupBy("url").agg(F.min("seq").alias("seq")).orderBy("seq", "url").limit(cap)
+def first_seen(df: DataFrame, url: str, order: str, cap: int, source: str) -> DataFrame:
+    """Addresses of each source without a trailing slash, each at its first place, at
+    most ``cap`` a source (the limit of documents that it may give)."""
+    u = df.select(source, F.regexp_replace(F.col(url), "/+$", "").alias("url"), F.col(order).alias("seq")).where("url is not null")
+    g = u.groupBy(source, "url").agg(F.min("seq").alias("seq"))
+    return g.withColumn("_n", F.row_number().over(W.partitionBy(source).orderBy("seq", "url"))).where(F.col("_n") <= cap).drop("_n")
 
 
 def review_flags(text: Column, title: Column, is_pdf: Column) -> Column:
@@ -74,6 +75,28 @@ def siblings(df: DataFrame, doc: str, order: str, id_col: str, reach: int = 2) -
     return df.withColumn("siblings", near)
 
 
+def running_total(df: DataFrame, doc: str, order: str, id_col: str, value: str, size: int = 4096) -> DataFrame:
+    """Adds ``start``: the sum of ``value`` over all rows of the document before the
+    row. Rows are summed by blocks of ``size`` places first and the blocks are added
+    up, so that a document with a third of all rows is many small tasks."""
+    b = df.withColumn("_b", F.coalesce(F.floor(F.col(order) / size), F.lit(-1)).cast("bigint"))
+    sums = b.groupBy(doc, "_b").agg(F.sum(value).alias("_v"))
+    before = sums.select(doc, "_b", F.coalesce(F.sum("_v").over(W.partitionBy(doc).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_p"))
+    w = W.partitionBy(doc, "_b").orderBy(F.asc_nulls_first(order), id_col).rowsBetween(W.unboundedPreceding, -1)
+    own = b.withColumn("_o", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    return own.join(before, [doc, "_b"]).withColumn("start", (F.col("_p") + F.col("_o")).cast("bigint")).drop("_b", "_p", "_o")
+
+
+def token_windows(chunks: DataFrame, size: int = 180_000, overlap: int = 500) -> DataFrame:
+    """Adds ``start``, ``window`` and ``other`` to chunks(id, document_id, chunk_index,
+    tokens): the window in which the chunk begins, and the one before where it begins
+    in the share of both."""
+    step = size - overlap
+    c = running_total(chunks, "document_id", "chunk_index", "id", "tokens")
+    c = c.withColumn("window", F.expr(f"start div {step}"))
+    return c.withColumn("other", F.when((F.col("window") > 0) & (F.col("start") % step < overlap), F.col("window") - 1))
+
+
 def carry_down(df: DataFrame, doc: str, order: str, level: str, wanted: str, value: Column, name: str) -> DataFrame:
     """Adds the value of the last row of level ``wanted`` at or before each row."""
     w = W.partitionBy(doc).orderBy(order).rowsBetween(W.unboundedPreceding, 0)

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexgrain.operators.corpus import token_windows
+
 
 class Completer(Protocol):
     def complete(self, prompt: str) -> str: ...
@@ -90,13 +92,33 @@ def complete(df: DataFrame, prompt: str, out: str, make: Callable[[], Completer]
     return df.mapInPandas(run, f"{schema}, `{out}` string, error string").select(*cols, out, "error")
 
 
-def contexts(chunks: DataFrame, make: Callable[[], Completer]) -> DataFrame:
-    """(id, text, contextualized, error): a line of context, a blank line, and the
-    text; a chunk whose call fails stays as it is."""
-    p = chunks.select("id", "text", F.concat(F.lit("context\n"), F.coalesce("text", F.lit(""))).alias("prompt"))
-    c = complete(p, "prompt", "context", make)
-    ctx = F.when(F.col("error").isNull() & (F.col("context") != ""), F.concat("context", F.lit("\n\n"), "text"))
-    return c.select("id", "text", ctx.alias("contextualized"), "error")
+def contexts(chunks: DataFrame, make: Callable[[], Completer], size: int = 180_000, overlap: int = 500) -> DataFrame:
+    """(id, text, contextualized, error): a line of context, a blank line, and the text.
+
+    chunks(id, document_id, chunk_index, text). The prompt holds the window of the
+    document's text that the chunk belongs to, and the chunk; a task holds one window
+    at a time. A chunk whose call fails, or without text, stays as it is.
+    """
+    c = chunks.withColumn("tokens", F.expr("coalesce(length(text), 0) div 4"))
+    w = token_windows(c, size, overlap).withColumn("w", F.explode(F.array_compact(F.array("window", "other"))))
+    kinds = dict(chunks.dtypes)
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        p = make()
+        g = g.sort_values(["start", "id"])
+        whole = "\n\n".join(t for t in g["text"] if t)
+        out = []
+        for i, t in g.loc[g["w"] == g["window"], ["id", "text"]].itertuples(index=False):
+            context = error = None
+            if t:
+                try:
+                    context = p.complete(f"context\n{whole}\n\n<chunk>\n{t}")
+                except Exception as e:  # noqa: BLE001 - the provider may fail in any way
+                    error = f"{type(e).__name__}: {e}"
+            out.append((i, t, f"{context}\n\n{t}" if context else None, error))
+        return pd.DataFrame(out, columns=["id", "text", "contextualized", "error"])
+
+    return w.select("id", "document_id", "start", "window", "w", "text").groupBy("document_id", "w").applyInPandas(run, f"id {kinds['id']}, text string, contextualized string, error string")
 
 
 def questions(chunks: DataFrame, make: Callable[[], Completer], most: int = 5) -> DataFrame:

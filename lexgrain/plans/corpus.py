@@ -40,8 +40,10 @@ def document_ids_from_urls(spark, sf):
 
 
 def url_first_seen_cap(spark, sf):
-    d = load(spark, sf, "chunks").select(F.col("source.url").alias("url"), F.unix_micros("source.scraped_at").alias("at"))
-    return K.first_seen(d, "url", "at", 200)
+    """Of each source the addresses in the order of their first sight, at most 200."""
+    n = F.coalesce(F.regexp_replace(F.lower(F.trim("source.source_name")), "[ -]+", "_"), F.lit("(none)"))
+    d = load(spark, sf, "chunks").select(n.alias("source"), F.col("source.url").alias("url"), F.unix_micros("source.scraped_at").alias("at"))
+    return K.first_seen(d, "url", "at", 200, "source")
 
 
 def _crawls(spark, sf):
@@ -258,11 +260,17 @@ def sentence_counts(spark, sf):
     return d.select("doc_id", F.size(F.filter(F.split("text", "[.!?]\\s+"), lambda x: F.trim(x) != "")).cast("bigint").alias("sentences"))
 
 
+def _in_order(spark, sf):
+    """Chunks once each, with their place and text."""
+    c = load(spark, sf, "chunks").groupBy("id").agg(F.max("document_id").alias("document_id"), F.max("chunk_index").alias("chunk_index"), F.max("text").alias("text"))
+    return c.where("document_id is not null")
+
+
 def context_windows(spark, sf):
-    """Window of a long document's text that a chunk belongs to: by its place
-    among the document's chunks, windows of 40 chunks that overlap by two."""
-    c = load(spark, sf, "chunks").groupBy("id").agg(F.max("document_id").alias("document_id"), F.max("chunk_index").alias("i"))
-    return c.select("id", F.floor(F.col("i") / 38).cast("bigint").alias("window"))
+    """The window of its document's text that each chunk belongs to, and those that it
+    stands in: windows of 180,000 tokens that share 500."""
+    c = _in_order(spark, sf).select("id", "document_id", "chunk_index", F.expr("coalesce(length(text), 0) div 4").alias("tokens"))
+    return K.token_windows(c).select("id", "start", "window", "other")
 
 
 def enrichment_filter(spark, sf):
@@ -326,7 +334,7 @@ QUERIES = {
     "latest_parse": (latest_parse, "WITH " + DOCS + " SELECT document_id, title, parser_used, strftime(parsed_at AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS parsed_at FROM docs"),
     "source_select": (source_select, "SELECT coalesce(regexp_replace(lower(trim(source.source_name)), '[ -]+', '_', 'g'), '(none)') AS source, count(DISTINCT id) AS chunks FROM chunks GROUP BY 1"),
     "document_ids_from_urls": (document_ids_from_urls, "SELECT DISTINCT source.url AS url, nullif(regexp_extract(regexp_replace(source.url, '/+$', ''), '([^/]+)$', 1), '') AS doc, nullif(regexp_extract(source.url, '^https?://([^/]+)', 1), '') AS host FROM chunks WHERE source.url IS NOT NULL"),
-    "url_first_seen_cap": (url_first_seen_cap, "SELECT regexp_replace(source.url, '/+$', '') AS url, min(epoch_us(source.scraped_at)) AS seq FROM chunks WHERE source.url IS NOT NULL GROUP BY 1 ORDER BY seq, url LIMIT 200"),
+    "url_first_seen_cap": (url_first_seen_cap, "WITH u AS (SELECT coalesce(regexp_replace(lower(trim(source.source_name)), '[ -]+', '_', 'g'), '(none)') AS source, regexp_replace(source.url, '/+$', '') AS url, min(epoch_us(source.scraped_at)) AS seq FROM chunks WHERE source.url IS NOT NULL GROUP BY 1, 2) SELECT source, url, seq FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY seq NULLS FIRST, url) AS n FROM u) WHERE n <= 200"),
     "change_detection": (change_detection, "WITH " + CRAWL + " SELECT c.id, c.content_hash, CASE WHEN old.id IS NULL THEN 'new' ELSE 'changed' END AS reason FROM c LEFT JOIN old USING (id) WHERE old.id IS NULL OR old.content_hash <> c.content_hash"),
     "skip_existing_anti": (skip_existing_anti, "WITH " + DOCS + " SELECT document_id, document_type FROM docs WHERE document_id NOT IN (SELECT document_id FROM chunks WHERE document_id IS NOT NULL)"),
     "crawl_state_upsert": (crawl_state_upsert, "WITH " + CRAWL + " SELECT id, content_hash FROM c"),
@@ -371,9 +379,13 @@ SELECT id, array_to_string(list_concat(coalesce(list(id) OVER (PARTITION BY d OR
     "judgment_headers": (judgment_headers, "WITH " + SECT + ", h AS (SELECT document_id, arg_min(section_id, ord) AS header FROM s WHERE level = 'header' GROUP BY 1) SELECT document_id, ord::BIGINT AS ord, header FROM s JOIN h USING (document_id) WHERE section_id <> header"),
     "page_level_chunks": (page_level_chunks, r"""WITH d AS (SELECT doc_id, CASE WHEN contains(text, chr(12)) THEN list_filter(string_split(text, chr(12)), lambda x: trim(regexp_replace(x, '[\r\n\t]', '', 'g')) <> '') ELSE list_transform(range(0, (length(text) + 5999) // 6000), lambda i: substr(text, i * 6000 + 1, 6000)) END AS p FROM documents WHERE text IS NOT NULL AND text <> '')
 SELECT doc_id, (generate_subscripts(p, 1) - 1)::BIGINT AS page, length(unnest(p)) AS chars FROM d"""),
-    "paragraph_packing": (paragraph_packing, None),
+    "paragraph_packing": (paragraph_packing, """WITH p AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS a FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, string_split(list_reduce(a, lambda s, x: s || CASE WHEN length(string_split(s, chr(30))[-1]) + 1 + length(x) <= 2000 THEN chr(10) ELSE chr(30) END || x), chr(30)) AS p FROM p WHERE len(a) > 0)
+SELECT doc_id, (generate_subscripts(p, 1) - 1)::BIGINT AS piece, length(unnest(p)) AS chars FROM r"""),
     "sentence_counts": (sentence_counts, r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[.!?]\s+'), lambda x: trim(x) <> '')) AS sentences FROM documents WHERE text IS NOT NULL"),
-    "context_windows": (context_windows, "SELECT id, max(chunk_index) // 38 AS window FROM chunks GROUP BY id"),
+    "context_windows": (context_windows, """WITH c AS (SELECT id, max(document_id) AS d, max(chunk_index) AS i, coalesce(length(max(text)), 0) // 4 AS t FROM chunks GROUP BY id HAVING max(document_id) IS NOT NULL),
+s AS (SELECT id, t, (sum(t) OVER (PARTITION BY d ORDER BY i NULLS FIRST, id ROWS UNBOUNDED PRECEDING) - t)::BIGINT AS start FROM c)
+SELECT id, start, start // 179500 AS window, CASE WHEN start >= 179500 AND start % 179500 < 500 THEN start // 179500 - 1 END AS other FROM s"""),
     "enrichment_filter": (enrichment_filter, "SELECT document_type, count(DISTINCT id) AS chunks FROM chunks WHERE NOT ingestion.contextualized AND NOT ingestion.requires_manual_review GROUP BY 1"),
     "question_lines": (question_lines, "WITH q AS (SELECT DISTINCT query_id, list_filter(list_transform(string_split(hyde_text, '. '), lambda x: trim(x)), lambda x: contains(x, '?') OR length(x) > 20) AS l FROM queries WHERE hyde_text IS NOT NULL) SELECT query_id, (generate_subscripts(l, 1) - 1)::BIGINT AS q, unnest(l) AS question FROM q"),
     "hindi_detection": (hindi_detection, "WITH d AS (SELECT doc_id, length(text) - length(regexp_replace(text, '[ऀ-ॿ]', '', 'g')) AS n FROM documents WHERE text IS NOT NULL) SELECT doc_id, n > 0 AS has_hindi, CASE WHEN n > 20 THEN 'hi' ELSE 'en' END AS language FROM d"),

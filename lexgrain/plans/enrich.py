@@ -3,14 +3,16 @@
 from pyspark.sql import functions as F
 
 from lexgrain.operators import providers as P
-from lexgrain.operators import retrieval as R
-from lexgrain.plans.index import BM25_SQL, _asked, _chunks, found
+from lexgrain.operators import lexical as LX
+from lexgrain.plans.corpus import _in_order
+from lexgrain.plans.flows import QN
+from lexgrain.plans.index import BM25_SQL, C, _asked, _chunks, found, text_index
 from lexgrain.plans.verify import CLAIMS, claims
 from lexgrain.session import load
 
 
 def chunk_contexts(spark, sf):
-    c = P.contexts(_chunks(spark, sf), P.provider("template"))
+    c = P.contexts(_in_order(spark, sf), P.provider("template"))
     return c.select("id", F.length("contextualized").cast("bigint").alias("chars"), "error")
 
 
@@ -20,12 +22,12 @@ def chunk_questions(spark, sf):
 
 def text_embeddings(spark, sf):
     e = P.embed(load(spark, sf, "queries").select("query_id", "text").distinct(), "query_id", "text", P.provider("hash"))
-    return e.select("id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")), 4).alias("norm"))
+    return e.select("id", F.transform("v", lambda x: F.round(x.cast("double"), 6)).alias("v"))
 
 
 def late_chunking(spark, sf):
     d = load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    return P.late_chunks(d, P.provider("hash")).groupBy("id").agg(F.count(F.lit(1)).alias("pieces"))
+    return P.late_chunks(d, P.provider("hash")).select("id", F.col("piece").cast("bigint").alias("piece"), F.transform("v", lambda x: F.round(x.cast("double"), 6)).alias("v"))
 
 
 def semantic_chunks(spark, sf):
@@ -39,16 +41,16 @@ def claims_alignment(spark, sf):
 
 
 def flare_retrieval(spark, sf):
-    """New chunks for the stated queries' own texts, all of low confidence."""
-    asked = _asked(spark, sf).select(F.col("query_id").alias("query"), F.lit(0).alias("seg"), F.col("qtext").alias("text"), F.lit(0.4).alias("confidence"))
-    ctx = load(spark, sf, "chunks").select("id", F.col("contextualized_text").alias("text")).where("text is not null").dropDuplicates(["id", "text"])
+    """New chunks for the statements of generated answers that their queries' texts
+    support too little: of each the share of supported words is its confidence."""
+    asked = claims(spark, sf).select(F.col("id").alias("query"), F.col("claim_no").alias("seg"), F.col("claim").alias("text"), F.col("share").alias("confidence"))
     have = found(spark, sf, 3)
-    return P.flare(asked, lambda q: R.bm25_search(ctx, "id", "text", q, "query", "text", 5), have)
+    return P.flare(asked, lambda q: LX.search(text_index(spark, sf, "contextualized_text"), q, "query", "text", 5), have)
 
 
 QUERIES = {
     "chunk_contexts": (chunk_contexts, None),
-    "chunk_questions": (chunk_questions, None),
+    "chunk_questions": (chunk_questions, f"WITH {C}, {QN} SELECT id, k AS q, question FROM qn"),
     "text_embeddings": (text_embeddings, None),
     "late_chunking": (late_chunking, None),
     "semantic_chunks": (semantic_chunks, None),

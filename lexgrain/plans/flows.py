@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexgrain.functions import legal as L
+from lexgrain.functions.names import act_key, act_sql, citation_key, citation_sql
 from lexgrain.operators import corpus as K
 from lexgrain.operators import providers as P
 from lexgrain.operators import retrieval as R
-from lexgrain.plans.index import BM25_SQL, _asked, _channels, _chunks, _once
-from lexgrain.plans.verify import ROUTE, _queries
+from lexgrain.plans.graph import ALL, edges_of
+from lexgrain.plans.index import BM25_SQL, C, CACHE_SQL, RRF_SQL, _asked, _channels, _chunks, _once, cache_lookup
+from lexgrain.plans.verify import ROUTE, SREF, _queries
 from lexgrain.session import load
 
 
@@ -101,17 +103,37 @@ def payload_json(spark, sf):
 
 
 def _graph_hits(spark, sf):
-    bare = lambda c: F.regexp_replace(F.lower(F.trim(c)), "^the |, \\d{4}$", "")  # noqa: E731 - queries leave out article and year
-    q = _queries(spark, sf).select("query_id", F.explode(L.section_references(F.col("text"))).alias("r")).select("query_id", bare(F.col("r.act")).alias("act"))
-    c = load(spark, sf, "chunks").where("statute.act_name is not null").select(bare(F.col("statute.act_name")).alias("act"), "id").distinct()
-    w = W.partitionBy("query_id").orderBy("id")
-    j = q.distinct().join(c, "act").select("query_id", "id").distinct()
-    return j.withColumn("rank", F.row_number().over(w)).where("rank <= 50")
+    """Per section that a query names: the chunks of judgments that cite it, then the
+    chunks of all sections of its act; each once, at its first place, at most 50."""
+    q = _queries(spark, sf).select("query_id", F.explode(L.section_references(F.col("text"))).alias("r")).select("query_id", act_key(F.col("r.act")).alias("act"), "r.section").distinct()
+    c = load(spark, sf, "chunks").select("id", act_key(F.col("statute.act_name")).alias("act"), citation_key(F.col("judgment.case_citation")).alias("cite"))
+    citing = edges_of(spark, sf, "CITES_SECTION", "INTERPRETS").select(F.substring_index("to_key", "|", 1).alias("act"), F.substring_index("to_key", "|", -1).alias("section"), F.col("from_key").alias("cite")).distinct()
+    judged = q.join(citing, ["act", "section"]).join(c.select("cite", "id"), "cite").select("query_id", "id", F.lit(0).alias("seq"))
+    under = q.join(c.where("act is not null").select("act", "id"), "act").select("query_id", "id", F.lit(1).alias("seq"))
+    first = judged.unionByName(under).groupBy("query_id", "id").agg(F.min("seq").alias("seq"))
+    return first.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("seq", "id"))).where("rank <= 50")
 
 
 def graph_search(spark, sf):
-    """Chunks of the sections that queries name, at most 50 a query."""
-    return _graph_hits(spark, sf).select("query_id", "id")
+    return _graph_hits(spark, sf).select("query_id", "id", F.col("rank").cast("bigint").alias("rank"))
+
+
+def hybrid_search(spark, sf):
+    """The light search: text and contextualised text, 50 each, fused."""
+    f = R.rank_fusion(_channels(spark, sf).where("rank <= 50"), 60, 150)
+    return f.select("query", "id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+def query_flow(spark, sf):
+    """What each query does next: answered from the cache, or routed and searched with
+    its own vector or that of a hypothetical answer (complex and analytical ones)."""
+    hit = cache_lookup(spark, sf).select(F.col("query").alias("query_id"), "key")
+    r = _queries(spark, sf).where("query_id % 100 = 0").select("query_id", L.route(F.col("text"))["route"].alias("route"))
+    v = query_vectors(spark, sf).groupBy("query_id").agg(F.min("source").alias("source"))
+    j = r.join(hit, "query_id", "left").join(v, "query_id", "left")
+    wants = F.col("route").isin("complex", "analytical") & (F.col("source") == "hyde")
+    vector = F.when(F.col("key").isNotNull(), "none").when(wants, "hyde").when(F.col("source") != "none", "query").otherwise("none")
+    return j.select("query_id", F.when(F.col("key").isNotNull(), "cache").otherwise(F.col("route")).alias("route"), "key", vector.alias("vector"))
 
 
 def skewed_terms(spark, sf):
@@ -122,6 +144,10 @@ def skewed_terms(spark, sf):
     return df.crossJoin(n).where(F.col("df") > 0.05 * F.col("n")).select("term", "df")
 
 
+QN = """qn0 AS (SELECT id, list_sort(list_transform(list_distinct(regexp_extract_all(text, '[A-Za-z]{5,}')), lambda w: struct_pack(n := -length(w), w := w))) AS ws FROM c),
+qn1 AS (SELECT id, unnest(range(0, least(5, len(ws)))) AS k, ws FROM qn0), qn AS (SELECT id, k, 'What is said about ' || lower(ws[k + 1].w) || '?' AS question FROM qn1)"""
+QUESTIONS_SQL = "WITH " + C + ", " + QN + ", " + BM25_SQL.replace(C, "c9 AS (SELECT id || '#' || k AS id, question AS text FROM qn)", 1).replace("FROM c),", "FROM c9),", 1) + " SELECT query, split_part(id, '#', 1) AS chunk, score, rank FROM bm WHERE rank <= 10"
+
 QUERIES = {
     "channel_gate": (channel_gate, f"""WITH {ROUTE}, v AS (SELECT query_id, bool_or(coalesce(len(query_embedding) = 64, false)) AS vec FROM queries WHERE text IS NOT NULL GROUP BY 1)
 SELECT query_id, route, concat_ws(',', CASE WHEN route <> 'simple' AND vec THEN 'dense' END, CASE WHEN route <> 'simple' THEN 'bm25' END, CASE WHEN route <> 'simple' AND vec THEN 'questions' END,
@@ -129,13 +155,20 @@ SELECT query_id, route, concat_ws(',', CASE WHEN route <> 'simple' AND vec THEN
     "query_vectors": (query_vectors, "SELECT DISTINCT query_id, CASE WHEN generated AND len(hyde_embedding) = 64 THEN 'hyde' WHEN len(query_embedding) = 64 THEN 'query' ELSE 'none' END AS source FROM queries"),
     "filtered_search": (filtered_search, "WITH " + BM25_SQL.replace("FROM chunks WHERE text IS NOT NULL", "FROM chunks WHERE text IS NOT NULL AND (statute.is_in_force OR judgment.date_decided < DATE '2015-01-01')", 1) + " SELECT query, id, score, rank FROM bm WHERE rank <= 10"),
     "full_retrieval": (full_retrieval, None),
-    "question_lookup": (question_lookup, None),
+    "question_lookup": (question_lookup, QUESTIONS_SQL),
     "document_spans": (document_spans, r"""WITH l AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\n|\r|\f') AS a FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS pos FROM l),
 h AS (SELECT *, regexp_matches(line, '^(THE [A-Z ]{8,}.*|[A-Z][A-Z ]{6,}|[0-9]+\. [A-Z].{0,60})$') AS h FROM e), s AS (SELECT *, sum(CASE WHEN h THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)::BIGINT AS section FROM h)
 SELECT doc_id, section, max(CASE WHEN h THEN trim(line) END) AS heading, count(*) AS lines, sum(length(line))::BIGINT AS chars FROM s GROUP BY 1, 2"""),
-    "proposition_chunks": (proposition_chunks, None),
+    "proposition_chunks": (proposition_chunks, r"""WITH d AS (SELECT DISTINCT section_id, text FROM sections WHERE level = 'definition' AND text IS NOT NULL), l AS (SELECT section_id, list_filter(string_split(regexp_replace(trim(text, E' \t\n\r\f'), '([.!?])\s+', E'\\1\n', 'g'), E'\n'), lambda x: trim(x) <> '') AS a FROM d)
+SELECT section_id, (generate_subscripts(a, 1) - 1)::BIGINT AS n, unnest(a) AS statement FROM l"""),
     "version_ids": (version_ids, "SELECT DISTINCT version_id, concat_ws(':', act_id::VARCHAR, section_number, substr(text_hash, 1, 8)) AS wanted FROM section_versions WHERE version_id <> concat_ws(':', act_id::VARCHAR, section_number, substr(text_hash, 1, 8))"),
-    "graph_search": (graph_search, None),
+    "graph_search": (graph_search, f"""{ALL}, {SREF}, g0 AS (SELECT DISTINCT query_id, {act_sql('act')} AS act, section FROM sref), ck AS (SELECT id, {act_sql('statute.act_name')} AS act, {citation_sql('judgment.case_citation')} AS cite FROM chunks),
+g1 AS (SELECT query_id, ck.id, 0 AS seq FROM g0 JOIN e ON e.to_key = g0.act || '|' || section AND kind IN ('CITES_SECTION', 'INTERPRETS') JOIN ck ON ck.cite = e.from_key UNION ALL SELECT query_id, ck.id, 1 FROM g0 JOIN ck USING (act)),
+g2 AS (SELECT query_id, id, min(seq) AS seq FROM g1 GROUP BY 1, 2), g3 AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY seq, id) AS rank FROM g2) SELECT * FROM g3 WHERE rank <= 50"""),
+    "hybrid_search": (hybrid_search, RRF_SQL.split(",\nr AS (")[0] + ", r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM f) SELECT query, id, score, rank FROM r WHERE rank <= 150"),
+    "query_flow": (query_flow, f"""WITH hit AS ({CACHE_SQL}), {ROUTE}, v AS (SELECT query_id, min(CASE WHEN generated AND len(hyde_embedding) = 64 THEN 'hyde' WHEN len(query_embedding) = 64 THEN 'query' ELSE 'none' END) AS source FROM queries GROUP BY 1)
+SELECT rt.query_id, CASE WHEN key IS NOT NULL THEN 'cache' ELSE route END AS route, key, CASE WHEN key IS NOT NULL THEN 'none' WHEN route IN ('complex', 'analytical') AND source = 'hyde' THEN 'hyde' WHEN source <> 'none' THEN 'query' ELSE 'none' END AS vector
+FROM rt LEFT JOIN hit ON hit.query = rt.query_id LEFT JOIN v ON v.query_id = rt.query_id WHERE rt.query_id % 100 = 0"""),
     "skewed_terms": (skewed_terms, "WITH " + BM25_SQL.split(", ts AS (")[0].split(",\nts AS (")[0] + ", g AS (SELECT term, count(*) AS df FROM p GROUP BY 1) SELECT term, df FROM g, st WHERE df > 0.05 * n"),
 }
 QUERIES["payload_json"] = (payload_json, "SELECT id, document_type, chunk_index FROM (SELECT DISTINCT id, document_type, chunk_type, chunk_index::BIGINT AS chunk_index FROM chunks)")
