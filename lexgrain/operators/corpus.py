@@ -68,11 +68,16 @@ def sequence_score(df: DataFrame, key: str, number: str) -> DataFrame:
     return g.withColumn("score", F.when(F.col("sections") < 2, 1.0).otherwise(F.round(F.greatest(F.lit(0.0), 1 - F.col("gaps") / (F.col("sections") - 1)), 6)))
 
 
-def siblings(df: DataFrame, doc: str, order: str, id_col: str, reach: int = 2) -> DataFrame:
-    """Adds ``siblings``: ids of the neighbours within ``reach``, in order."""
-    w = W.partitionBy(doc).orderBy(order, id_col)
+def siblings(df: DataFrame, doc: str, order: str, id_col: str, reach: int = 2, size: int = 4096) -> DataFrame:
+    """Adds ``index`` (from 0) and ``siblings``: ids of the neighbours within ``reach``,
+    in order. Rows are numbered by blocks, and each block gets the ends of its
+    neighbours, so that no document is one task."""
+    n = running_total(df.withColumn("_one", F.lit(1)), doc, order, id_col, "_one", size).drop("_one").withColumnRenamed("start", "index")
+    at = lambda x: F.floor(x / size).cast("bigint")
+    n = n.withColumn("_b", F.explode(F.array_distinct(F.array(at(F.col("index")), at(F.col("index") - reach), at(F.col("index") + reach)))))
+    w = W.partitionBy(doc, "_b").orderBy("index")
     near = F.concat(F.collect_list(id_col).over(w.rowsBetween(-reach, -1)), F.collect_list(id_col).over(w.rowsBetween(1, reach)))
-    return df.withColumn("siblings", near)
+    return n.withColumn("siblings", near).where(F.col("_b") == at(F.col("index"))).drop("_b")
 
 
 def running_total(df: DataFrame, doc: str, order: str, id_col: str, value: str, size: int = 4096) -> DataFrame:
@@ -112,11 +117,14 @@ def attached_groups(df: DataFrame, doc: str, order: str, level: str, attached: l
 
 def subtree(df: DataFrame, doc: str, wanted: str) -> DataFrame:
     """(doc, ord, parts, tokens): size of the subtree of each row of the level
-    ``wanted``, over the pre-order interval [ord, last_desc]."""
-    a = df.where(F.col("level") == wanted).select(F.col(doc).alias("doc"), F.col("ord").alias("o"), "last_desc")
-    b = df.select(F.col(doc).alias("doc"), "ord", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-    j = a.join(b, "doc").where("ord between o and last_desc")
-    return j.groupBy("doc", "o").agg(F.count(F.lit(1)).alias("parts"), F.sum("chars").alias("chars")).select(F.col("doc").alias(doc), F.col("o").alias("ord"), "parts", "chars")
+    ``wanted``, over the pre-order interval [ord, last_desc] (whose end must be a row):
+    a difference of running sums."""
+    w = W.partitionBy(doc).orderBy("ord")
+    t = df.withColumn("_c", F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).withColumn("_n", F.row_number().over(w)).withColumn("_t", F.sum("_c").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    # the total up to the last row below, less that before the row itself
+    end = t.select(doc, F.col("ord").alias("last_desc"), F.col("_n").alias("_n2"), F.col("_t").alias("_t2"))
+    j = t.where(F.col("level") == wanted).join(end, [doc, "last_desc"])
+    return j.select(doc, "ord", (F.col("_n2") - F.col("_n") + 1).cast("bigint").alias("parts"), (F.col("_t2") - F.col("_t") + F.col("_c")).alias("chars"))
 
 
 def pack_paragraphs(text: Column, limit: int) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexgrain.functions.text import tokens
-from lexgrain.functions.vector import cosine, head
-from lexgrain.operators import lexical
+from lexgrain.functions.vector import cosine
+from lexgrain.operators import dense, lexical
 from lexgrain.operators.lexical import saturation, top
 
 # ------------------------------------------------------------------ BM25
@@ -48,10 +48,8 @@ def bm25_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame,
 def dense_two_stage(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid: str, qvec: str, dims: int, first: int, k: int) -> DataFrame:
     """(query, id, score, rank): the ``first`` nearest by the leading ``dims``
     numbers, then the k nearest of these by the whole vectors."""
-    c = corpus.select(F.col(id_col).alias("id"), head(F.col(vec_col), dims).alias("fast"))
-    q = queries.select(F.col(qid).alias("query"), F.col(qvec).alias("qv"), head(F.col(qvec), dims).alias("qfast"))
-    near = c.crossJoin(q.select("query", "qfast")).select("query", "id", F.round(cosine(F.col("fast"), F.col("qfast")), 6).alias("coarse"))
-    near = top(near, "query", "coarse", "id", first).select("query", "id")
+    q = queries.select(F.col(qid).alias("query"), F.col(qvec).alias("qv"))
+    near = dense.nearest(corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), q, first, dims).select("query", "id")
     full = near.join(corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), "id").join(q.select("query", "qv"), "query")
     return top(full.select("query", "id", F.round(cosine(F.col("v"), F.col("qv")), 6).alias("score")), "query", "score", "id", k)
 
@@ -128,8 +126,15 @@ def cache_lookup(queries: DataFrame, cache: DataFrame, threshold: float, now: st
     expired entry or one without a response is no hit.
     """
     live = cache.where(F.col("response").isNotNull() & (F.col("cached_at") + F.make_interval(secs=F.col("ttl_seconds")) > F.lit(now).cast("timestamp")))
-    j = live.select("key", F.col("v").alias("cv")).crossJoin(queries.select("query", "v")).select("query", "key", F.round(cosine(F.col("cv"), F.col("v")), 6).alias("score"))
-    return top(j.where(F.col("score") >= threshold), "query", "score", "key", 1).drop("rank")
+    best = dense.nearest(live.select(F.col("key").alias("id"), "v"), queries.select("query", F.col("v").alias("qv")), 1)
+    return best.where(F.col("score") >= threshold).select("query", F.col("id").alias("key"), "score")
+
+
+def cache_set(cache: DataFrame, entries: DataFrame, now: str, ttl_seconds: int = 86_400) -> DataFrame:
+    """The cache with new entries(key, v, response, acts_cited), a day to live; one of
+    the same key is replaced, an entry without a response isn't stored."""
+    new = entries.where("response is not null").select("key", "v", "response", F.lit(now).cast("timestamp").alias("cached_at"), F.lit(ttl_seconds).alias("ttl_seconds"), "acts_cited")
+    return cache.select(*new.columns).join(new.select("key"), "key", "left_anti").unionByName(new)
 
 
 def cache_invalidate(cache: DataFrame, act: str) -> DataFrame:

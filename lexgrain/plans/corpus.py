@@ -187,8 +187,8 @@ def chunk_siblings(spark, sf):
 def chunk_reindex(spark, sf):
     """A running index from 0 within each document."""
     c = load(spark, sf, "chunks").groupBy("id").agg(F.max("document_id").alias("document_id"), F.max("chunk_index").alias("i"))
-    w = W.partitionBy("document_id").orderBy("i", "id")
-    return c.select("id", "document_id", (F.row_number().over(w) - 1).cast("bigint").alias("chunk_index"))
+    n = K.running_total(c.withColumn("one", F.lit(1)), "document_id", "i", "id", "one")
+    return n.select("id", "document_id", F.col("start").alias("chunk_index"))
 
 
 def chapter_carry_down(spark, sf):

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 
 from lexgrain.functions.text import tokens
 from lexgrain.functions.vector import cosine, head
+from lexgrain.operators import dense as D
 from lexgrain.operators import lexical as L
 from lexgrain.operators import retrieval as R
 from lexgrain.session import load, stamp
@@ -85,9 +86,8 @@ QV = """qv AS (SELECT query_id, max(query_embedding)::DOUBLE[] AS v FROM queries
 
 
 def dense_top_k(spark, sf):
-    e, q = load(spark, sf, "embeddings"), _query_vectors(spark, sf)
-    s = e.crossJoin(q).select(F.col("query_id").alias("query"), F.col("vec_id").alias("id"), F.round(cosine(F.col("embedding"), F.col("qv")), 6).alias("score"))
-    return R.top(s, "query", "score", "id", 10).withColumn("rank", F.col("rank").cast("bigint"))
+    e, q = load(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), _query_vectors(spark, sf).select(F.col("query_id").alias("query"), "qv")
+    return D.nearest(e, q, 10).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def dense_two_stage(spark, sf):
