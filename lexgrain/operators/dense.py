@@ -49,7 +49,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int, dims: int | None = No
                     hit = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k]) if k < len(s) else np.arange(len(s))
                     hit = hit[np.argsort(-s[hit], kind="stable")[:k]]
                     out.append(pd.DataFrame({"query": name, "id": ids[hit], "score": s[hit]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "id": [], "score": []}).astype({"score": float})
+        return pd.concat(out) if out else pd.DataFrame({"query": q["query"].iloc[:0].to_numpy(), "id": r["id"].iloc[:0].to_numpy(), "score": np.zeros(0)})
 
     found = rows.groupBy("db", "qb").cogroup(ask.groupBy("db", "qb")).applyInPandas(best, f"query {kinds[0]}, id {kinds[1]}, score double")
     return top(found, "query", "score", "id", k)

@@ -50,7 +50,8 @@ class LexicalIndex:
 
     def postings(self) -> DataFrame:
         """(bucket, term, id, tf, dl)"""
-        return self.spark.read.parquet(f"{self.path}/postings")
+        kind = self.spark.read.parquet(f"{self.path}/stats").first()["id_type"]
+        return self.spark.read.schema(f"term string, id {kind}, tf int, dl int, bucket int").parquet(f"{self.path}/postings")
 
     def terms(self) -> DataFrame:
         """(term, df, most): ``most`` the greatest saturation in any document"""
@@ -74,7 +75,7 @@ def build(docs: DataFrame, id_col: str, text_col: str, path: str | None = None,
     post.repartition("bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     post = spark.read.schema(post.schema).parquet(f"{path}/postings")
     lengths = post.groupBy("id").agg(F.first("dl").alias("dl"))
-    stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).withColumn("buckets", F.lit(buckets))
+    stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).withColumns({"buckets": F.lit(buckets), "id_type": F.lit(dict(tok.dtypes)["id"])})
     stats.write.mode("overwrite").parquet(f"{path}/stats")
     avgdl = F.lit(spark.read.parquet(f"{path}/stats").first()["avgdl"] or 0.0)
     terms = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(saturation(F.col("tf"), F.col("dl"), avgdl)).alias("most"))

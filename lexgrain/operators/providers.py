@@ -70,6 +70,15 @@ def provider(name: str) -> Callable[[], object]:
     return REGISTRY[name]
 
 
+def for_component(component: str, config: dict[str, str]) -> Callable[[], object]:
+    """The maker that a configuration names for a component, or its ``default``; a
+    component without either, or an unknown provider, is an error."""
+    name = config.get(component) or config.get("default")
+    if not name:
+        raise KeyError(f"no provider for {component!r}, and no default")
+    return provider(name)
+
+
 def complete(df: DataFrame, prompt: str, out: str, make: Callable[[], Completer]) -> DataFrame:
     """Adds ``out`` and ``error``: one call per row; a failed call is an error of
     its row, null prompts stay null."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexgrain.functions import legal as L
-from lexgrain.functions.legal import FAMILIES
+from lexgrain.functions.register import spans
 
 
 def citation_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -21,17 +20,8 @@ def citation_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forms = [(k, re.compile(p)) for k, p in FAMILIES.items()]
         for b in batches:
-            rows = []
-            for i, t in zip(b["id"], b["t"]):
-                taken: dict[tuple[int, int], str] = {}
-                for k, p in forms:
-                    for m in p.finditer(t):
-                        inside = k == "circular" and any(a <= m.start() < e for a, e in taken)
-                        if not inside:
-                            taken.setdefault(m.span(), k)
-                rows += [(i, k, t[a:e], a, e) for (a, e), k in sorted(taken.items())]
+            rows = [(i, *x) for i, t in zip(b["id"], b["t"]) for x in spans(t)]
             yield pd.DataFrame(rows, columns=["id", "family", "citation", "start", "end"])
 
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).where("t is not null")

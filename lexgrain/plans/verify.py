@@ -122,6 +122,16 @@ def temporal_warnings(spark, sf):
     return V.temporal_warnings(_references(spark, sf), kg_sections(spark, sf), kg_acts(spark, sf), edges_of(spark, sf, "REPLACES"))
 
 
+def verification_layers(spark, sf):
+    """All layers for each document: citations with their outcomes, warnings about
+    law that no longer holds, and whether it gets a caveat."""
+    n = lambda s: F.count_if(F.col("status") == s)
+    v = _verified(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("citations"), n("verified").alias("verified"), n("not_found").alias("not_found"), n("kg_unavailable").alias("kg_unavailable"))
+    w = temporal_warnings(spark, sf).where("source = 'document'").groupBy(F.col("ref").cast("bigint").alias("doc_id")).agg(F.count(F.lit(1)).alias("warnings"))
+    d = load(spark, sf, "documents").where("text is not null").select("doc_id").join(v, "doc_id", "left").join(w, "doc_id", "left").fillna(0)
+    return d.withColumn("caveat", F.col("not_found") > 0)
+
+
 def acts_repealed_cited(spark, sf):
     """Acts that chunks cite, with the register's status."""
     c = load(spark, sf, "chunks").select(F.explode("content.acts_cited").alias("act"))
@@ -250,6 +260,10 @@ QUERIES = {
     "verification_summary": (verification_summary, f"WITH {GRAPH}, {CITED} SELECT source, count(*) AS citations, count(*) FILTER (status = 'verified') AS verified, count(*) FILTER (status = 'not_found') AS missing, count(*) FILTER (status = 'kg_unavailable') AS kg_unavailable, count(*) FILTER (status <> 'verified') AS not_found, round(count(*) FILTER (status = 'verified') * 1.0 / count(*), 6)::DOUBLE AS rate FROM ver JOIN documents USING (doc_id) GROUP BY 1"),
     "temporal_warnings": (temporal_warnings, f"{GP.ALL}, {SREF}, {TEMPORAL} SELECT * FROM w WHERE reason IS NOT NULL"),
     "acts_repealed_cited": (acts_repealed_cited, "WITH c AS (SELECT unnest(content.acts_cited) AS act FROM chunks), a AS (SELECT name AS act, max(status) AS status FROM acts GROUP BY 1) SELECT act, count(*) AS n, any_value(status) AS status FROM c LEFT JOIN a USING (act) WHERE act IS NOT NULL GROUP BY 1"),
+    "verification_layers": (verification_layers, f"""{GP.ALL}, {SREF}, {TEMPORAL}, {CITED}, a AS (SELECT doc_id, count(*) AS citations, count(*) FILTER (status = 'verified') AS verified, count(*) FILTER (status = 'not_found') AS not_found, count(*) FILTER (status = 'kg_unavailable') AS kg_unavailable FROM ver GROUP BY 1),
+b AS (SELECT ref::BIGINT AS doc_id, count(*) AS warnings FROM w WHERE source = 'document' AND reason IS NOT NULL GROUP BY 1)
+SELECT documents.doc_id, coalesce(citations, 0) AS citations, coalesce(verified, 0) AS verified, coalesce(not_found, 0) AS not_found, coalesce(kg_unavailable, 0) AS kg_unavailable, coalesce(warnings, 0) AS warnings, coalesce(not_found, 0) > 0 AS caveat
+FROM documents LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id) WHERE text IS NOT NULL"""),
     "caveat_append": (caveat_append, f"WITH {GRAPH}, {CITED}, u AS (SELECT doc_id, count(*) FILTER (status = 'not_found') AS u FROM ver GROUP BY 1) SELECT doc_id, sha256(CASE WHEN coalesce(u, 0) > 0 THEN text || chr(10) || chr(10) || 'Note: ' || u || ' unsupported, 0 partly supported.' ELSE text END) AS hash FROM documents LEFT JOIN u USING (doc_id) WHERE text IS NOT NULL"),
     "confidence_score": (confidence_score, f"WITH {GRAPH}, {ROUTE.replace('q AS (', 'qr AS (', 1).replace('FROM q)', 'FROM qr)')}, " + BM25_SQL + f""", {CASES_SQL}, {CLAIMS}, m AS (SELECT id, max(document_type) AS kind, max(judgment.court_level) AS level, max(judgment.date_decided) AS day FROM chunks GROUP BY 1),
 rr AS (SELECT bm.query, bm.id, round(len(list_filter(list_distinct({TOKENS_OF('qtext')}), lambda x: list_contains({TOKENS_OF('c.text')}, x))) * 1.0::DOUBLE / len(list_distinct({TOKENS_OF('qtext')})), 6) AS score FROM bm JOIN q ON q.query_id = bm.query JOIN c USING (id) WHERE bm.rank <= 10),

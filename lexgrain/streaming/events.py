@@ -62,16 +62,16 @@ def first_only(events: DataFrame, ts: str, keys: list[str], late: str = "40 days
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def content_changes(rows: DataFrame, key: str, content_hash: str) -> DataFrame:
-    """(key, seen, changes): per key the number of deliveries and of changes of
-    content, kept as state between batches."""
+def content_changes(rows: DataFrame, key: str, content_hash: str, at: str) -> DataFrame:
+    """(key, seen, changes): per key the number of deliveries and of changes of content
+    from one delivery to the next by time, kept as state between batches. Equal times
+    are ordered by content."""
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen, changes, last = state.get if state.exists else (0, 0, "")
-        for b in batches:
-            for h in sorted(b[content_hash]):
-                changes += int(seen > 0 and h != last)
-                seen, last = seen + 1, h
+        for _, h in sorted(x for b in batches for x in zip(b[at], b[content_hash])):
+            changes += int(seen > 0 and h != last)
+            seen, last = seen + 1, h
         state.update((seen, changes, last))
         yield pd.DataFrame({"key": [k[0]], "seen": [seen], "changes": [changes]})
 
