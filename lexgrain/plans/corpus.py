@@ -217,8 +217,9 @@ def statute_pieces(spark, sf):
     """Sections with all below them without headers; beyond 1,500 tokens by groups of
     children, and what is still beyond is cut at the limit: no part exceeds it."""
     s = _sections(spark, sf)
-    a = s.where("level = 'section'").select("document_id", F.col("ord").alias("section"), F.col("last_desc").alias("last"))
-    j = a.join(s.select("document_id", "ord", "parent_ord", "level", F.coalesce("text", F.lit("")).alias("t")), "document_id").where("ord between section and last")
+    back = W.partitionBy("document_id").orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
+    opened = F.last(F.when(F.col("level") == "section", F.struct("ord", "last_desc")), ignorenulls=True).over(back)
+    j = s.withColumn("s", opened).where("ord <= s.last_desc").select("document_id", "ord", "parent_ord", "level", F.coalesce("text", F.lit("")).alias("t"), F.col("s.ord").alias("section"))
     w = W.partitionBy("document_id", "section").orderBy("ord")
     # pre-order: what is below a child follows it, and so falls into its group
     starts = (F.col("parent_ord") == F.col("section")) & (~F.col("level").isin("proviso", "explanation") | (F.row_number().over(w) == 2))

@@ -20,19 +20,31 @@ def read_raw(spark: SparkSession, path: str, source_type: str | None = None) ->
 
 
 def upsert(spark: SparkSession, path: str, rows: DataFrame, key: str) -> str:
-    """Replace rows by key: the new table is written beside the old one, whose
-    readers are never disturbed; gives the path of the new version."""
+    """Replace rows by key: a version of the table is what was written then, so that a
+    small batch is a small write and readers are never disturbed; gives its path.
+    Keys must be unique within ``rows``; null keys aren't stored."""
     versions = sorted(int(p.rsplit("=", 1)[1]) for p in _folders(spark, path))
     new = f"{path}/version={(versions[-1] + 1) if versions else 0}"
-    if versions:
-        old = spark.read.parquet(f"{path}/version={versions[-1]}")
-        rows = old.join(rows.select(key), key, "left_anti").unionByName(rows)
-    rows.write.mode("overwrite").parquet(new)
+    rows.where(F.col(key).isNotNull()).withColumn("_key", F.col(key).cast("string")).write.mode("overwrite").parquet(new)
     return new
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(max(_folders(spark, path), key=lambda p: int(p.rsplit("=", 1)[1])))
+    """The table: of each key the row of its last version, by a partial aggregate."""
+    t = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*_folders(spark, path))
+    cols = [c for c in t.columns if c not in ("_key", "version")]
+    return t.groupBy("_key").agg(F.max_by(F.struct(*cols), "version").alias("r")).select("r.*")
+
+
+def compact(spark: SparkSession, path: str, key: str) -> str:
+    """All versions as one more, from which on a reader needs no other."""
+    new = upsert(spark, path, latest_version(spark, path), key)
+    jvm = spark.sparkContext._jvm
+    for p in _folders(spark, path):
+        if int(p.rsplit("=", 1)[1]) < int(new.rsplit("=", 1)[1]):
+            old = jvm.org.apache.hadoop.fs.Path(p)
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    return new
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
@@ -93,9 +105,3 @@ def eval_inputs(tests: DataFrame, results: DataFrame) -> DataFrame:
     and ``judged`` tells those with a response that isn't blank."""
     j = tests.join(results, "query_id", "left")
     return j.withColumn("judged", F.coalesce(F.trim("response_text") != "", F.lit(False)))
-
-
-def write_index(spark: SparkSession, path: str, postings: DataFrame, terms: DataFrame, vectors: DataFrame) -> dict[str, str]:
-    """The index as three keyed tables; each call adds a version."""
-    post = postings.withColumn("key", F.concat_ws("|", "id", "term"))
-    return {"postings": upsert(spark, f"{path}/postings", post, "key"), "terms": upsert(spark, f"{path}/terms", terms, "term"), "vectors": upsert(spark, f"{path}/vectors", vectors, "id")}

@@ -78,15 +78,18 @@ def content_changes(rows: DataFrame, key: str, content_hash: str, at: str) -> Da
     return rows.groupBy(key).applyInPandasWithState(step, "key string, seen long, changes long", "seen long, changes long, last string", "update", GroupStateTimeout.NoTimeout)
 
 
-def ingest_new(spark: SparkSession, source: DataFrame, target: str, key: str, state: str) -> None:
+def ingest_new(spark: SparkSession, source: DataFrame, target: str, key: str, state: str, buckets: int = 64) -> None:
     """Incremental ingest: rows of a stream whose key the target table lacks are
-    appended; a batch that is run again finds its own rows and adds none."""
+    appended; a batch that is run again finds its own rows and adds none. The table is
+    partitioned by ``key_bucket``, and a batch reads the buckets of its keys alone."""
 
     def write(batch: DataFrame, _: int) -> None:
-        new = batch.dropDuplicates([key])
+        new = batch.dropDuplicates([key]).withColumn("key_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         if _exists(spark, target):
-            new = new.join(spark.read.parquet(target).select(key), key, "left_anti")
-        new.write.mode("append").parquet(target)
+            met = [r[0] for r in new.select("key_bucket").distinct().collect()]  # at most ``buckets``
+            have = spark.read.parquet(target).where(F.col("key_bucket").isin(met)).select("key_bucket", key)
+            new = new.join(have, ["key_bucket", key], "left_anti")
+        new.write.mode("append").partitionBy("key_bucket").parquet(target)
 
     q = source.writeStream.option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()

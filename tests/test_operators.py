@@ -161,6 +161,8 @@ def test_tables(spark, tmp_path):
     tables.upsert(spark, p, df, "id")
     tables.upsert(spark, p, df.where("id = 'b'").withColumn("n", F.lit(9)), "id")
     assert {(r["id"], r["n"]) for r in tables.latest_version(spark, p).collect()} == {("a", 1), ("b", 9)}
+    tables.compact(spark, p, "id")
+    assert {(r["id"], r["n"]) for r in tables.latest_version(spark, p).collect()} == {("a", 1), ("b", 9)} and len(tables._folders(spark, p)) == 1
     for body in (["one", {"text": "two"}, ""], {"queries": ["one", "two"]}):
         f = tmp_path / "q.json"
         f.write_text(json.dumps(body))
@@ -184,11 +186,11 @@ class Failing:
 def test_providers(spark):
     with pytest.raises(KeyError):
         P.provider("none")
-    c = spark.createDataFrame([("a", "Bail is granted. Rent is due."), ("b", None)], "id string, text string")
+    c = spark.createDataFrame([("a", "d", 0, "Bail is granted. Rent is due."), ("b", "d", 1, None)], "id string, document_id string, chunk_index int, text string")
     r = {x["id"]: x["contextualized"] for x in P.contexts(c, P.provider("template")).collect()}
     assert r["a"] == "Bail is granted.\n\nBail is granted. Rent is due." and r["b"] is None
-    bad = P.contexts(c, Failing).collect()
-    assert all(x["contextualized"] is None and "no" in x["error"] for x in bad)
+    bad = {x["id"]: x for x in P.contexts(c, Failing).collect()}
+    assert all(x["contextualized"] is None for x in bad.values()) and "no" in bad["a"]["error"] and bad["b"]["error"] is None  # nothing is asked for a chunk without text
     q = P.questions(c, P.provider("template"))
     assert q.where("id = 'a'").first()["question"] == "What is said about granted?"
 

@@ -23,4 +23,11 @@ def test_oracle(spark, data, con, name):
 def test_runs(spark, data, name):
     df = FOUND[name][0](spark, data)
     assert len(set(df.columns)) == len(df.columns)
-    assert df.count() >= 0
+    assert df.count() > 0
+
+
+def test_wrong_version_ids_are_named(spark, tmp_path):
+    rows = [("1:5:abcdef01", 1, "5", "abcdef0123"), ("1:5:other", 1, "5", "abcdef0123"), ("1:5:other", 1, "5", "abcdef0123")]
+    spark.createDataFrame(rows, "version_id string, act_id long, section_number string, text_hash string").write.parquet(f"{tmp_path}/section_versions.parquet")
+    got = FOUND["version_ids"][0](spark, str(tmp_path)).collect()
+    assert [(r["version_id"], r["wanted"]) for r in got] == [("1:5:other", "1:5:abcdef01")]
