@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -147,11 +146,10 @@ def near_duplicates(
     spark = df.sparkSession
     least = max(k, min_words or k)
     texts = df.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_t")).where(f"_id is not null and length(_t) >= {2 * least - 1}")
-    counts = _frequencies(texts, k, sketch_bits)
-    freq, most = spark.sparkContext.broadcast(counts), int(counts.max())
+    freq = spark.sparkContext.broadcast(_frequencies(texts, k, sketch_bits))
     mask = np.uint64((1 << sketch_bits) - 1)
 
-    def cells(batches: Iterator[pd.DataFrame], frequent: bool) -> Iterator[pd.DataFrame]:
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen, f = _Words(), set(), freq.value
         bit = np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))
         for b in batches:
@@ -176,15 +174,16 @@ def near_duplicates(
             prefix = np.minimum(strict + shared - 1, n)
             # a prefix that is seldom throughout names its longer form, any other the one that is enough
             open_ = np.bincount(doc[(at < prefix[doc]) & (count[o] > rare)], minlength=d) == 0
-            named = (at < np.where(open_, prefix, strict)[doc]) & ((count[o] > hot) == frequent)
-            if not named.any():
-                continue
+            named = at < np.where(open_, prefix, strict)[doc]
             key, of, left = _mix(h[named] ^ MIX), doc[named], (n[doc] - at)[named]
-            yield pd.DataFrame({"cell": key.view(np.int64), "c": c[of], "n": n[of].astype(np.int32), "left": np.where(open_[of], n[of], left).astype(np.int32), "open": open_[of]} | {f"p{i}": p[of, i] for i in range(4)})
+            yield pd.DataFrame({"cell": key.view(np.int64), "c": c[of], "n": n[of].astype(np.int32), "left": np.where(open_[of], n[of], left).astype(np.int32), "open": (open_[of] + 2 * (count[o][named] > hot)).astype(np.int8)} | {f"p{i}": p[of, i] for i in range(4)})
 
     names = ("c", "n", "left", "open", *(f"p{i}" for i in range(4)))
-    schema = "cell long, c long, n int, left int, open boolean, " + ", ".join(f"p{i} long" for i in range(4))
-    grid, often = (texts.select("_t").mapInPandas(partial(cells, frequent=x), schema) for x in (False, True))
+    # open: 1 for a text with the longer prefix, 2 for a hash that is seen more than ``hot`` times
+    schema = "cell long, c long, n int, left int, open byte, " + ", ".join(f"p{i} long" for i in range(4))
+    grid = texts.select("_t").mapInPandas(cells, schema).repartition("cell")
+    # rand() keeps the filters above the exchange, which all sides then share: texts are read once
+    often, grid = grid.where("open >= 2 and rand() >= 0"), grid.where("open < 2 or rand() < 0")
     bound, share = (1 - threshold) / (1 + threshold), threshold / (1 + threshold)
     far = " + ".join(f"bit_count(p{i}x ^ p{i}y)" for i in range(4))
     meets = (
@@ -194,15 +193,13 @@ def near_duplicates(
     )
     side = lambda g, s, *keys: g.select(*keys, *[F.col(q).alias(f"{q}{s}") for q in names])
     met = joined(side(grid, "x", "cell"), side(grid, "y", "cell"), "cell").where(meets)
-    # cells of hashes that are seen more often, if there are any, are counted, and cut into blocks of some ``hot`` rows;
-    # block i of the one side meets block j of the other under a key of their own
+    # cells of hashes that are seen more often are counted, and cut into blocks of some ``hot`` rows; block i of the one side meets block j of the other under a key of their own
     often = often.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("cell"))).withColumn("of", F.ceil(F.col("m") / hot).cast("int"))
     often = often.withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
     one, two = (side(often, s, "cell", F.col(i).alias("i"), F.col(j).alias("j")) for s, i, j in (("x", "own", "other"), ("y", "other", "own")))
-    if most > hot:
-        met = met.unionByName(joined(one, two, ["cell", "i", "j"]).where(meets).drop("i", "j"))
+    met = met.unionByName(joined(one, two, ["cell", "i", "j"]).where(meets).drop("i", "j"))
     # similar texts share at least so many hashes within prefixes that are longer by as many less one
-    least_shared = f"if(openx and openy, least({shared}, ceil({share!r} * (nx + ny) - 1e-9)), 1)"
+    least_shared = f"if((openx & openy & 1) = 1, least({shared}, ceil({share!r} * (nx + ny) - 1e-9)), 1)"
     times = met.select("cell", F.col("cx").alias("a"), F.col("cy").alias("b"), F.expr(least_shared).cast("int").alias("need"), (F.col("nx") + F.col("ny")).alias("size"))
     times = times.distinct().groupBy("a", "b", "size").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
     cand = cut(times.where("n >= need").select("a", "b", "size"))
