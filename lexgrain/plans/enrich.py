@@ -6,7 +6,7 @@ from lexgrain.operators import providers as P
 from lexgrain.operators import lexical as LX
 from lexgrain.plans.corpus import _in_order
 from lexgrain.plans.flows import QN
-from lexgrain.plans.index import BM25_SQL, C, _asked, _chunks, found, text_index
+from lexgrain.plans.index import BM25_SQL, C, _chunks, found, text_index
 from lexgrain.plans.verify import CLAIMS, claims
 from lexgrain.session import load
 
