@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from lexgrain.functions import legal as L
 from lexgrain.functions.names import act_key, act_sql, citation_key, citation_sql, plain_key, plain_sql
 from lexgrain.operators import graph as G
-from lexgrain.session import load
+from lexgrain.session import cut, load
 
 
 def _seq():
@@ -99,10 +99,10 @@ def edges_of(spark, sf, *kinds):
     return e.where(F.col("kind").isin(*kinds)) if kinds else e
 
 
-def _nodes(spark, sf):
+def _nodes(spark, sf, edges=None):
     """(label, key) of all eight labels, those of edges' own ends (versions,
     amendments, concepts) included; courts also from the list."""
-    e = _all_edges(spark, sf)
+    e = _all_edges(spark, sf) if edges is None else edges
     a = kg_acts(spark, sf).select(F.lit("act").alias("label"), F.col("act").alias("key"))
     s = kg_sections(spark, sf).select(F.lit("section").alias("label"), F.concat_ws("|", "act", "number").alias("key"))
     j = kg_judgments(spark, sf).select(F.lit("judgment").alias("label"), F.col("cite").alias("key"))
@@ -119,8 +119,8 @@ def kg_edges(spark, sf):
 
 def edges_resolved(spark, sf):
     """Of each kind of edge how many there are and how many have both ends."""
-    e = edges_of(spark, sf)
-    whole = G.resolve_edges(e, _nodes(spark, sf)).groupBy("kind").agg(F.count(F.lit(1)).alias("resolved"))
+    e = cut(edges_of(spark, sf))
+    whole = G.resolve_edges(e, _nodes(spark, sf, e)).groupBy("kind").agg(F.count(F.lit(1)).alias("resolved"))
     return e.groupBy("kind").agg(F.count(F.lit(1)).alias("edges")).join(whole, "kind", "left").select("kind", "edges", F.coalesce("resolved", F.lit(0)).alias("resolved"))
 
 

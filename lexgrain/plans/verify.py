@@ -158,7 +158,7 @@ def claims(spark, sf, hits=None):
     """Statements of the stated queries' generated answers against their five best
     texts, with a finding each."""
     asked = load(spark, sf, "queries").where("query_id % 100 = 0 and text is not null and hyde_text is not null").groupBy("query_id").agg(F.max("hyde_text").alias("text"))
-    best = (hits or _hits(spark, sf, 5)).where("rank <= 5").select("query", "id")
+    best = (_hits(spark, sf, 5) if hits is None else hits).where("rank <= 5").select("query", "id")
     ev = best.join(_chunks(spark, sf), "id").select(F.col("query").alias("id"), F.col("id").alias("chunk"), "text")
     return P.align_claims(asked.select(F.col("query_id").alias("id"), "text"), ev, P.provider("template"))
 
