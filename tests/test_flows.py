@@ -28,3 +28,17 @@ def test_all_channels_are_fused_within_their_gates(spark, asked):
     assert looked and named
     assert {q for q, c in got.items() if "questions" in c} == looked and {q for q, c in got.items() if "graph" in c} == named
     assert all(flows.GATES[x] in gates[q] for q, c in got.items() for x in c)
+
+
+def test_reranked_and_expanded_hits_are_those_of_the_fused_list(spark, asked):
+    fused = {(r["query"], r["id"]) for r in flows.fused_hits(spark, asked).collect()}
+    got = flows.full_retrieval(spark, asked).collect()
+    assert got and all((r["query"], r["id"]) in fused for r in got) and all(r["rank"] <= 20 for r in got)
+
+
+def test_statements_with_little_support_bring_new_chunks(spark, asked):
+    from lexgrain.plans import enrich, index
+
+    got = {(r["query"], r["id"]) for r in enrich.flare_retrieval(spark, asked).collect()}
+    have = {(r["query"], r["id"]) for r in index.found(spark, asked, 3).collect()}
+    assert got and not got & have

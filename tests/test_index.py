@@ -6,7 +6,7 @@ from lexgrain.functions import register
 from lexgrain.operators import dense, lexical
 from lexgrain.operators import providers as P
 from lexgrain.operators import retrieval as R
-from lexgrain.plans import flows, index
+from lexgrain.plans import index
 from lexgrain.sources import index as stored
 from lexgrain.streaming import events as E
 
@@ -102,9 +102,3 @@ def test_changes_are_counted_in_order_of_time(spark, tmp_path):
     s = spark.readStream.schema("k string, h string, t int").parquet(str(tmp_path / "in"))
     got = E.drain(E.content_changes(s, "k", "h", "t"), "update")
     assert {(r["key"], r["seen"], r["changes"]) for r in got.collect()} == {("a", 3, 2), ("b", 2, 0)}
-
-
-def test_reranked_and_expanded_hits_are_those_of_the_fused_list(spark, data):
-    fused = {(r["query"], r["id"]) for r in flows.fused_hits(spark, data).collect()}
-    got = flows.full_retrieval(spark, data).collect()
-    assert all((r["query"], r["id"]) in fused for r in got) and all(r["rank"] <= 20 for r in got)
