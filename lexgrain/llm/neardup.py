@@ -7,7 +7,7 @@ the size of the symmetric difference of the sets, and sets of Jaccard similarity
 at least t differ in at most (1 - t) / (1 + t) * (|A| + |B|) hashes, so a greater
 distance refutes a pair. Of each count its lowest bit is kept: where these differ
 the counts do, so the number of differing bits is a lower bound as well, and it
-is four ``bit_count`` of an XOR inside the join condition.
+is four bit counts of an XOR.
 
 Grid: the counts alone can't serve as join key. At t = 0.6 the bound on the
 distance is half a text's size, which unrelated texts also keep in any number of
@@ -23,11 +23,16 @@ and under the Manhattan bound, in ``shared`` cells if the longer prefixes of bot
 seldom throughout (at most ``rare`` occurrences), and only then have their whole sets
 compared.
 
+Cells travel once, sorted, and the texts of a cell are compared where they arrive: in
+order of size each text meets a window of larger ones, pair lists of small cells and
+tiles of large ones go through the bound as arrays. The pairs of a cell still grow with
+the square of its texts, at some nanoseconds each. Cells of more than ``SPREAD * hot``
+texts come out again, are counted and cut into blocks, and each pair of blocks is a key
+of its own.
+
 Sizes that Spark estimates behind a Python step are far too small, so every join of
-cells, pairs and sets names its strategy: all are sort-merge joins over shuffles and
-nothing that grows with the data is broadcast. Cells of hashes seen more than ``hot``
-times are counted, those of more rows cut into blocks, and each pair of blocks is a
-key of its own.
+pairs and sets names its strategy: all are sort-merge joins over shuffles and nothing
+that grows with the data is broadcast.
 """
 
 from __future__ import annotations
@@ -39,6 +44,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +56,12 @@ from lexgrain.session import cut, joined
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: hashes of a pair from which on it is looked at with 2048 segments
 LONG = 220
+#: a text in a cell: its class, parities of 256 segments, hashes, and hashes from the shared one on (their number negative: open)
+ROW = np.dtype([("c", "<i8"), ("p", "<u8", 4), ("n", "<i4"), ("left", "<i4")])
+#: a task compares cells of up to so many times ``hot`` rows as a whole
+SPREAD = 16
+#: rows of a cell from which on pairs are looked at in tiles, and a tile's sides; rows looked at in one go
+TILED, TILE, AT_ONCE = 256, (64, 1024), 50_000
 
 
 class _Words(dict):
@@ -129,6 +141,131 @@ def _frequencies(norm: DataFrame, k: int, bits: int, blocks: int = 16) -> np.nda
     return out
 
 
+def _packed(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
+def _near(cell: np.ndarray, rows: np.ndarray, side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows in order of cell and size, each text once a cell, and the places of
+    all pairs in them that meet: in size range, with enough hashes behind the shared
+    one and under the Manhattan bound. ``side``: -1, or rows of one side don't meet."""
+    bound, share = (1 - threshold) / (1 + threshold), threshold / (1 + threshold)
+    o = np.lexsort((rows["c"], rows["n"], cell))
+    cell, rows, side = cell[o], rows[o], side[o]
+    if len(rows):
+        own = np.r_[True, (cell[1:] != cell[:-1]) | (rows["c"][1:] != rows["c"][:-1])]
+        cell, rows, side = cell[own], rows[own], side[own]
+    m = len(rows)
+    n, left = rows["n"].astype(np.int64), np.abs(rows["left"]).astype(np.int64)
+    p = np.ascontiguousarray(rows["p"].T)
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if m else np.zeros(0, np.int64)
+    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, m]))
+    # of the larger texts behind it a row meets those up to a size
+    most = np.floor(np.minimum((n + 1e-9) / threshold, (left + 1e-9) / share - n) + 1e-6).astype(np.int64)
+    end = np.searchsorted(group << 32 | n, group << 32 | np.clip(most, 0, 2**32 - 1), "right")
+    end = np.maximum(end, np.arange(m) + 1)
+    found_i, found_j = [], []
+
+    def look(i: np.ndarray, j: np.ndarray) -> None:
+        both = n[i] + n[j]
+        far = sum(np.bitwise_count(q[i] ^ q[j]).astype(np.int64) for q in p)
+        ok = (far <= bound * both + 1e-9) & (np.minimum(left[i], left[j]) >= share * both - 1e-9) & (n[i] >= threshold * n[j] - 1e-9)
+        ok &= (side[i] != side[j]) | (side[i] < 0)
+        found_i.append(i[ok])
+        found_j.append(j[ok])
+
+    large = np.diff(np.r_[first, m]) >= TILED
+    small = np.flatnonzero(~large[group] & (end > np.arange(m) + 1))
+    width = end[small] - small - 1
+    upto = np.cumsum(width)
+    at = 0
+    while at < len(small):  # some 300,000 pairs at a time
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 300_000, "right")))
+        w, i = width[at:to], small[at:to]
+        j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w - i - 1, w)
+        look(np.repeat(i, w), j)
+        at = to
+    for g in np.flatnonzero(large):
+        start, stop = first[g], first[g + 1] if g + 1 < len(first) else m
+        x = start + np.flatnonzero(end[start:stop] > np.arange(start, stop) + 1)
+        for s in range(0, len(x), TILE[0]):
+            i = x[s : s + TILE[0]]
+            q, to = p[:, i, None], end[i].max()
+            for t in range(i[0] + 1, to, TILE[1]):
+                u = min(t + TILE[1], to)
+                far = np.bitwise_count(q[0] ^ p[0, None, t:u])
+                for z in (1, 2):  # three of four words, whose distance is a lower bound too
+                    far += np.bitwise_count(q[z] ^ p[z, None, t:u])
+                a, b = np.nonzero(far <= min(int(bound * (n[i[-1]] + n[u - 1]) + 1e-9), 255))
+                a, b = i[a], b + t
+                ok = (b > a) & (b < end[a])
+                look(a[ok], b[ok])
+    empty = np.zeros(0, np.int64)
+    return rows, np.concatenate([empty, *found_i]), np.concatenate([empty, *found_j])
+
+
+def _meet(batches: Iterator[pa.RecordBatch], threshold: float, shared: int, most: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs that meet in a cell, from rows sorted by cell. Rows of cells of more than
+    ``most`` rows come out as they are, with their class as ``a``."""
+    share = threshold / (1 + threshold)
+
+    def out(cell, a, b, need, size, row) -> pa.RecordBatch:
+        nulls = lambda kind: pa.nulls(len(a), kind)
+        return pa.record_batch(
+            {
+                "cell": nulls(pa.int64()) if cell is None else pa.array(cell), "a": pa.array(a), "b": nulls(pa.int64()) if b is None else pa.array(b),
+                "need": pa.array(need.astype(np.int32)), "size": pa.array(size.astype(np.int32)), "row": nulls(pa.binary()) if row is None else _packed(row),
+            }
+        )
+
+    def pairs(cell: np.ndarray, rows: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+        rows, i, j = _near(cell, rows, side, threshold)
+        a, b, size = rows["c"][i], rows["c"][j], rows["n"][i].astype(np.int64) + rows["n"][j]
+        seldom = (rows["left"][i] < 0) & (rows["left"][j] < 0)
+        need = np.where(seldom, np.minimum(shared, np.ceil(share * size - 1e-9)), 1)
+        return out(None, np.minimum(a, b), np.maximum(a, b), need, size, None)
+
+    def split(cell: np.ndarray, rows: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole cells."""
+        nonlocal held
+        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        times = np.diff(np.r_[first, len(cell)])
+        times = np.repeat(times, times)
+        large = times > most if most else np.zeros(len(cell), bool)
+        if held is not None:
+            large |= cell == held
+        if large.any():
+            zero = np.zeros(int(large.sum()), np.int32)
+            yield out(cell[large], rows["c"][large], None, zero, zero, rows[large])
+        keep = ~large & (times > 1)
+        if keep.any():
+            yield pairs(cell[keep], rows[keep], side[keep])
+
+    held, rest, kept = None, [], 0
+    for b in chain(batches, [None]):
+        if b is not None and b.num_rows:
+            row = b.column("row")
+            ends = np.frombuffer(row.buffers()[1], np.int64 if pa.types.is_large_binary(row.type) else np.int32)[row.offset : row.offset + len(row) + 1]
+            rows = np.frombuffer(row.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(ROW)
+            cell = b.column("cell").to_numpy()
+            side = b.column("side").to_numpy() if "side" in b.schema.names else np.full(len(cell), -1, np.int32)
+            rest.append((cell, rows.copy(), side))
+            kept += len(cell)
+        if not rest or (b is not None and kept < AT_ONCE):
+            continue
+        cell, rows, side = (np.concatenate(x) for x in zip(*rest))
+        # the last cell may go on in the next batch
+        last = int(np.searchsorted(cell, cell[-1])) if b is not None else len(cell)
+        if most and len(cell) - last > most:
+            held = cell[-1]
+        if last < len(cell) and cell[-1] == held:
+            last = len(cell)
+        if last:
+            yield from split(cell[:last], rows[:last], side[:last])
+        rest, kept = ([(cell[last:], rows[last:], side[last:])], 0) if last < len(cell) else ([], 0)
+
+
 def near_duplicates(
     df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int | None = None, sketch_bits: int = 20, bitmap_bits: int = 24, rare: int = 64, shared: int = 3,
     hot: int = 4096,
@@ -147,16 +284,15 @@ def near_duplicates(
     spark = df.sparkSession
     least = max(k, min_words or k)
     texts = df.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_t")).where(f"_id is not null and length(_t) >= {2 * least - 1}")
-    counts = _frequencies(texts, k, sketch_bits)
-    freq, most = spark.sparkContext.broadcast(counts), int(counts.max())
+    freq = spark.sparkContext.broadcast(_frequencies(texts, k, sketch_bits))
     mask = np.uint64((1 << sketch_bits) - 1)
 
-    def cells(batches: Iterator[pd.DataFrame], frequent: bool) -> Iterator[pd.DataFrame]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, f = _Words(), set(), freq.value
         bit = np.left_shift(np.uint64(1), np.arange(64, dtype=np.uint64))
         for b in batches:
             new = {}  # copies of a text within a task name their cells once
-            for w in map(_split, b["_t"]):
+            for w in map(_split, b.column("_t").to_pylist()):
                 if len(w) >= least and (c := _class(w)) not in seen:
                     new[c] = w
             seen.update(new)
@@ -166,46 +302,41 @@ def near_duplicates(
             d, c = len(new), np.fromiter(new, np.int64, len(new))
             n = np.bincount(doc, minlength=d)
             odd = np.bincount(doc * 256 + (h >> np.uint64(56)).astype(np.int64), minlength=d * 256).reshape(d, 4, 64) & 1
-            p = (odd * bit).sum(axis=2, dtype=np.uint64).view(np.int64)
+            p = (odd * bit).sum(axis=2, dtype=np.uint64)
             count = f[(h & mask).astype(np.int64)]
             o = np.lexsort((h, count, doc))
-            h = h[o]
+            h, count = h[o], count[o]
             start = np.concatenate(([0], np.cumsum(n)[:-1]))
             at = np.arange(len(h)) - start[doc]
             strict = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
             prefix = np.minimum(strict + shared - 1, n)
             # a prefix that is seldom throughout names its longer form, any other the one that is enough
-            open_ = np.bincount(doc[(at < prefix[doc]) & (count[o] > rare)], minlength=d) == 0
-            named = (at < np.where(open_, prefix, strict)[doc]) & ((count[o] > hot) == frequent)
-            if not named.any():
-                continue
-            key, of, left = _mix(h[named] ^ MIX), doc[named], (n[doc] - at)[named]
-            yield pd.DataFrame({"cell": key.view(np.int64), "c": c[of], "n": n[of].astype(np.int32), "left": np.where(open_[of], n[of], left).astype(np.int32), "open": open_[of]} | {f"p{i}": p[of, i] for i in range(4)})
-
-    names = ("c", "n", "left", "open", *(f"p{i}" for i in range(4)))
-    schema = "cell long, c long, n int, left int, open boolean, " + ", ".join(f"p{i} long" for i in range(4))
-    grid, often = (texts.select("_t").mapInPandas(partial(cells, frequent=x), schema) for x in (False, True))
+            open_ = np.bincount(doc[(at < prefix[doc]) & (count > rare)], minlength=d) == 0
+            # a hash seen once in all texts is in no other
+            named = (at < np.where(open_, prefix, strict)[doc]) & (count > 1)
+            of = doc[named]
+            rows = np.empty(len(of), ROW)
+            rows["c"], rows["p"], rows["n"] = c[of], p[of], n[of]
+            rows["left"] = np.where(open_[of], -n[of], (n[doc] - at)[named])
+            yield pa.record_batch({"cell": _mix(h[named] ^ MIX).view(np.int64), "row": _packed(rows)})
+
+    grid = texts.select("_t").mapInArrow(cells, "cell long, row binary").repartition("cell").sortWithinPartitions("cell")
     bound, share = (1 - threshold) / (1 + threshold), threshold / (1 + threshold)
-    far = " + ".join(f"bit_count(p{i}x ^ p{i}y)" for i in range(4))
-    meets = (
-        f"cx < cy and least(nx, ny) >= {threshold} * greatest(nx, ny) - 1e-9 and {far} <= {bound!r} * (nx + ny) + 1e-9 "
-        # behind the first hash that two similar texts share lie all the others they share
-        f"and least(leftx, lefty) >= {share!r} * (nx + ny) - 1e-9"
-    )
-    side = lambda g, s, *keys: g.select(*keys, *[F.col(q).alias(f"{q}{s}") for q in names])
-    met = joined(side(grid, "x", "cell"), side(grid, "y", "cell"), "cell").where(meets)
-    # cells of hashes that are seen more often, if there are any, are counted, and cut into blocks of some ``hot`` rows;
-    # block i of the one side meets block j of the other under a key of their own
-    often = often.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("cell"))).withColumn("of", F.ceil(F.col("m") / hot).cast("int"))
-    often = often.withColumn("own", F.pmod(F.xxhash64("c"), F.col("of")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-    one, two = (side(often, s, "cell", F.col(i).alias("i"), F.col(j).alias("j")) for s, i, j in (("x", "own", "other"), ("y", "other", "own")))
-    if most > hot:
-        met = met.unionByName(joined(one, two, ["cell", "i", "j"]).where(meets).drop("i", "j"))
-    # similar texts share at least so many hashes within prefixes that are longer by as many less one
-    least_shared = f"if(openx and openy, least({shared}, ceil({share!r} * (nx + ny) - 1e-9)), 1)"
-    times = met.select("cell", F.col("cx").alias("a"), F.col("cy").alias("b"), F.expr(least_shared).cast("int").alias("need"), (F.col("nx") + F.col("ny")).alias("size"))
-    times = times.distinct().groupBy("a", "b", "size").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
-    cand = cut(times.where("n >= need").select("a", "b", "size"))
+    met_schema = "cell long, a long, b long, need int, size int, row binary"
+    met = grid.mapInArrow(partial(_meet, threshold=threshold, shared=shared, most=SPREAD * hot), met_schema)
+    # similar texts share at least ``need`` hashes within their prefixes; rows of cells too large for one task come out as they went in
+    met = cut(met.groupBy("cell", "a", "b", "size", "row").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need")))
+    times = met.where("row is null").select("a", "b", "size", "n", "need")
+    held = met.where("row is not null").select("cell", "a", "row")
+    if not held.isEmpty():
+        # such cells are counted and cut into blocks; block i meets block j under a key of their own
+        held = held.withColumn("of", F.ceil(F.count(F.lit(1)).over(W.partitionBy("cell")) / (SPREAD * hot)).cast("int"))
+        held = held.withColumn("own", F.pmod(F.xxhash64("a"), F.col("of")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+        held = held.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"), "row")
+        more = held.repartition("cell").sortWithinPartitions("cell").mapInArrow(partial(_meet, threshold=threshold, shared=shared, most=None), met_schema)
+        times = times.unionByName(more.select("a", "b", "size", F.lit(1).cast("long").alias("n"), "need"))
+        times = times.groupBy("a", "b", "size").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    cand = times.where("n >= need").select("a", "b", "size")
 
     def few(pairs: DataFrame):
         """The classes of the pairs, and a bitmap of them for the workers: its

@@ -1,6 +1,8 @@
 import random
+import re
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lexgrain.llm import neardup as N
@@ -97,3 +99,63 @@ def test_cells_in_blocks_give_the_same(spark):
     a = N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30))
     b = N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30, hot=2))
     assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
+
+
+def test_cells_are_compared_in_place_and_texts_named_once(spark, monkeypatch):
+    """A cell's texts meet within its task: the grid is no side of a join, and hashes
+    that are seen often take no second pass over the texts."""
+    plans = []
+
+    def cut(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.checkpoint(eager=True)
+
+    from lexgrain.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    monkeypatch.setattr(N, "cut", cut)
+    df = spark.createDataFrame(corpus(8) + [(f"h{i}", f"{'w1 w2 w3 ' * 9} w{i} w{i + 1} w{i + 2}") for i in range(60)], "id string, text string")
+    links, members = N.near_duplicates(df, "id", "text", 0.6, 3, 30, sketch_bits=6, hot=50)
+    N.pairs_of_members(links, members)
+    assert not [p for p in plans if re.search(r"SortMergeJoin \[cell#", p)]
+    assert len(re.findall("MapIn(?:Pandas|Arrow) cells", plans[0])) == 1
+
+
+def test_cells_in_blocks_of_a_second_exchange_equal_brute_force(spark, monkeypatch):
+    r = random.Random(9)
+    base = [r.choice(WORDS) for _ in range(36)]
+    rows = [(f"h{i:03}", " ".join(r.choice(WORDS) if r.random() < 0.06 else w for w in base)) for i in range(160)] + corpus(9)
+    df = spark.createDataFrame(rows, "id string, text string")
+    for bits in (20, 6):
+        got = {tuple(x) for x in N.pairs_of_members(*N.near_duplicates(df, "id", "text", 0.6, 3, 30, sketch_bits=bits, hot=1)).collect()}
+        assert got == brute(rows, 3, 0.6, 30)
+
+
+def test_tiles_and_pair_lists_meet_the_same_pairs(monkeypatch):
+    r = np.random.default_rng(3)
+    rows = np.empty(700, N.ROW)
+    rows["c"], rows["n"] = r.integers(-(2**62), 2**62, 700), r.integers(30, 200, 700)
+    rows["left"] = np.where(r.random(700) < 0.2, -rows["n"], rows["n"] - (r.random(700) * 0.4 * rows["n"]).astype(int))
+    rows["p"] = np.packbits(r.random((700, 256)) < 0.2, axis=1, bitorder="little").view("<u8")
+    rows["p"][1::2] = rows["p"][::2]
+    cell, one = np.sort(r.integers(0, 2, 700)), np.full(700, -1, np.int32)
+
+    def met(tiled, cell, rows, side):
+        monkeypatch.setattr(N, "TILED", tiled)
+        monkeypatch.setattr(N, "TILE", (7, 50))
+        out, i, j = N._near(cell, rows, side, 0.6)
+        return {tuple(sorted((int(out["c"][a]), int(out["c"][b])))) for a, b in zip(i, j)}
+
+    want = set()
+    for x, y in combinations(range(700), 2):
+        a, b, both = rows[x], rows[y], int(rows["n"][x]) + int(rows["n"][y])
+        far = int(np.bitwise_count(a["p"] ^ b["p"]).sum())
+        left = min(abs(int(a["left"])), abs(int(b["left"])))
+        if cell[x] == cell[y] and 4 * far <= both and 8 * left >= 3 * both and 5 * min(a["n"], b["n"]) >= 3 * max(a["n"], b["n"]):
+            want.add(tuple(sorted((int(a["c"]), int(b["c"])))))
+    assert len(want) > 100 and met(2, cell, rows, one) == want == met(10**9, cell, rows, one)
+    # each text once a cell, and sides that differ
+    assert met(2, np.repeat(cell, 2), np.repeat(rows, 2), np.repeat(one, 2)) == want
+    side = r.integers(0, 2, 700).astype(np.int32)
+    of = dict(zip(rows["c"].tolist(), side.tolist()))
+    assert met(2, cell, rows, side) == {p for p in want if of[p[0]] != of[p[1]]} == met(10**9, cell, rows, side)
