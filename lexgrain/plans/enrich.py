@@ -6,8 +6,8 @@ from lexgrain.operators import providers as P
 from lexgrain.operators import lexical as LX
 from lexgrain.plans.corpus import _in_order
 from lexgrain.plans.flows import QN
-from lexgrain.plans.index import BM25_SQL, C, _chunks, found, text_index
-from lexgrain.plans.verify import CLAIMS, claims
+from lexgrain.plans.index import BM25_SQL, C, Q, _chunks, text_index
+from lexgrain.plans.verify import CLAIMS_OF_ALL, Q_ANSWERED, answer_hits, claims
 from lexgrain.session import load
 
 
@@ -36,15 +36,16 @@ def semantic_chunks(spark, sf):
 
 
 def claims_alignment(spark, sf):
-    """Statements of generated answers against the five best texts of their queries."""
-    return claims(spark, sf).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "finding", "best", "share")
+    """Statements of all generated answers against the five best texts of their queries."""
+    return claims(spark, sf, answer_hits(spark, sf)).select("id", F.col("claim_no").cast("bigint").alias("claim_no"), "finding", "best", "share")
 
 
 def flare_retrieval(spark, sf):
-    """New chunks for the statements of generated answers that their queries' texts
+    """New chunks for the statements of all generated answers that their queries' texts
     support too little: of each the share of supported words is its confidence."""
-    asked = claims(spark, sf).select(F.col("id").alias("query"), F.col("claim_no").alias("seg"), F.col("claim").alias("text"), F.col("share").alias("confidence"))
-    have = found(spark, sf, 3)
+    best = answer_hits(spark, sf)
+    asked = claims(spark, sf, best).select(F.col("id").alias("query"), F.col("claim_no").alias("seg"), F.col("claim").alias("text"), F.col("share").alias("confidence"))
+    have = best.where("rank <= 3")
     return P.flare(asked, lambda q: LX.search(text_index(spark, sf, "contextualized_text"), q, "query", "text", 5), have)
 
 
@@ -54,6 +55,6 @@ QUERIES = {
     "text_embeddings": (text_embeddings, None),
     "late_chunking": (late_chunking, None),
     "semantic_chunks": (semantic_chunks, None),
-    "claims_alignment": (claims_alignment, "WITH " + BM25_SQL + f", {CLAIMS} SELECT query_id AS id, claim_no, CASE WHEN share >= 0.6 THEN 'supported' WHEN share >= 0.3 THEN 'partial' ELSE 'unsupported' END AS finding, best, share FROM claims"),
+    "claims_alignment": (claims_alignment, "WITH " + BM25_SQL.replace(Q, Q_ANSWERED) + f", {CLAIMS_OF_ALL} SELECT query_id AS id, claim_no, CASE WHEN share >= 0.6 THEN 'supported' WHEN share >= 0.3 THEN 'partial' ELSE 'unsupported' END AS finding, best, share FROM claims"),
     "flare_retrieval": (flare_retrieval, None),
 }

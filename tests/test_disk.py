@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexgrain.operators import lexical
 from lexgrain.operators import retrieval as R
-from lexgrain.plans import catalog
+from lexgrain.plans import catalog, index
 
 
 @pytest.fixture(scope="module")
@@ -34,8 +34,9 @@ def characters(spark, folder):
     return spark.read.parquet(f"{folder}/chunks.parquet").agg(F.sum(F.length("text"))).first()[0]
 
 
-@pytest.mark.parametrize("name", ["bm25_topk"])
-def test_shuffles_less_than_the_texts(spark, larger, name):
+@pytest.mark.parametrize("name", ["bm25_topk", "claims_alignment"])
+def test_shuffles_less_than_the_texts(spark, larger, name, monkeypatch):
+    monkeypatch.setattr(index, "_INDEXES", {})
     before = shuffled(spark)
     catalog.all_queries()[name][0](spark, larger).count()
     assert shuffled(spark) - before < 1.5 * characters(spark, larger)
