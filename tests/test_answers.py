@@ -22,3 +22,8 @@ def test_every_statement_of_a_long_answer(spark, data, tmp_path):
     q = spark.read.parquet(f"{data}/queries.parquet").where("text is not null").limit(1)
     q.withColumn("hyde_text", F.lit(" ".join(f"Statement {i} is here." for i in range(60)))).write.parquet(str(tmp_path / "queries.parquet"))
     assert sorted(r["claim_no"] for r in enrich.claims_alignment(spark, str(tmp_path)).collect()) == list(range(60))
+
+
+def test_further_retrieval_for_every_answer(spark, data):
+    got = {r["query"] for r in enrich.flare_retrieval(spark, data).collect()}
+    assert any(i % 100 for i in got) and got <= answered(spark, data)
