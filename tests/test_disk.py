@@ -34,7 +34,7 @@ def characters(spark, folder):
     return spark.read.parquet(f"{folder}/chunks.parquet").agg(F.sum(F.length("text"))).first()[0]
 
 
-@pytest.mark.parametrize("name", ["bm25_topk", "hybrid_search", "flare_new_ids", "rrf_fusion", "section_completeness", "rerank_overlap", "full_retrieval", "context_expand_budget", "bm25_weights", "question_lookup", "confidence_score", "flare_retrieval", "claims_alignment"])
+@pytest.mark.parametrize("name", ["bm25_topk", "filtered_search", "hybrid_search", "flare_new_ids", "rrf_fusion", "section_completeness", "rerank_overlap", "full_retrieval", "context_expand_budget", "bm25_weights", "question_lookup", "confidence_score", "flare_retrieval", "claims_alignment"])
 def test_shuffles_less_than_the_texts(spark, larger, name, monkeypatch):
     monkeypatch.setattr(index, "_INDEXES", {})
     before = shuffled(spark)
